@@ -21,5 +21,5 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written once and read back: it cuts the lineage, survives lost executors and has a known size."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
