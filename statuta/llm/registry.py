@@ -61,13 +61,13 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """doc_id_a, doc_id_b of every two documents that share a run of 200 characters or more."""
-    return spans.span_pairs(spans.shared_spans(table(spark, d, "documents")))
+    return spans.span_pairs(spans.candidate_spans(table(spark, d, "documents")))
 
 
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     """doc_id, n_chars, shared_chars, share of every document."""
     docs = table(spark, d, "documents")
-    return spans.shared_share(docs, spans.shared_spans(docs))
+    return spans.shared_share(docs, spans.shared_spans(spans.candidate_spans(docs)))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_normalized, p5_found, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_shared)}

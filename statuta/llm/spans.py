@@ -11,7 +11,7 @@ common. Comparing all windows would move a hash for every character, so candidat
 2. Windows of different records with the same min-hash are joined. A span that two records share holds the same
    tokens in both, so its least token is the same: one min-hash finds every shared span.
 3. Verification: of windows that met another record's, the starts of all spans with this least token (an interval
-   given by l, c and r) are hashed over their whole ``SPAN`` characters, by two independent hashes (128 bits).
+   given by l, c and r) are hashed over their whole ``SPAN`` characters, by two independent hashes (96 bits).
    Equal hashes of two records are shared spans.
 
 Verified spans are grouped by hash. Consecutive spans of a passage have the same set of records; each such set is
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.stored import stored
@@ -146,17 +146,17 @@ def windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     return docs.mapInArrow(run, "doc long, token long, first int, last int")
 
 
-def shared_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """doc, at, first_here, h1, h2 of every start of a span that another record holds as well (a stored table).
+def candidate_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """doc, at, first_here, h1, h2 of every start of a span whose least token another record has too (a stored table).
 
-    first_here marks the first of equal spans within a record.
+    first_here marks the first of equal spans within a record. h1 and h2 (64 and 32 bits) are hashes of the whole span.
     """
     docs = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.length("text") >= span)
     found = stored(windows(docs, span, gram))
     met = found.groupBy("token").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("token")
     starts = found.join(met, "token", "left_semi").select("doc", F.struct("first", "last").alias("w"))
     starts = starts.groupBy("doc").agg(F.collect_list("w").alias("ws"))  # bounded by the text's own length
-    schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("first_here", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int64())])
+    schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("first_here", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, codes, (ws,) in _texts(batches, span):
@@ -164,23 +164,27 @@ def shared_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
             h1, h2 = Rolling(codes, _B1).at(at, span), Rolling(codes, _B2).at(at, span)
             once = np.zeros(len(at), bool)
             once[np.unique(h1, return_index=True)[1]] = True
+            h2 = (h2 >> _U(32)).astype(np.uint32).view(np.int32)
             for k in range(0, len(at), 100_000):
                 p = slice(k, k + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at[p]), doc)), pa.array(at[p].astype(np.int32)), pa.array(once[p]), pa.array(h1[p].view(np.int64)), pa.array(h2[p].view(np.int64))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at[p]), doc)), pa.array(at[p].astype(np.int32)), pa.array(once[p]), pa.array(h1[p].view(np.int64)), pa.array(h2[p])], schema=schema)
 
-    hashed = docs.join(starts, "doc").select("doc", "text", "ws").mapInArrow(run, "doc long, at int, first_here boolean, h1 long, h2 long")
-    hashed = stored(hashed)
-    shared = hashed.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("h1", "h2")
-    return stored(hashed.join(shared, ["h1", "h2"], "left_semi"))
+    return stored(docs.join(starts, "doc").select("doc", "text", "ws").mapInArrow(run, "doc long, at int, first_here boolean, h1 long, h2 int"))
 
 
-def span_pairs(spans: DataFrame) -> DataFrame:
-    """doc_id_a, doc_id_b (a < b) of every two records that hold one of ``shared_spans``; each pair once."""
-    held = spans.where("first_here").select("h1", "h2", "doc")
-    # spans with the same set of records: two sums over hashes of the records and their number tell the sets apart
-    big = [F.sum(F.xxhash64("doc", F.lit(k)).cast("decimal(20,0)")).alias(f"s{k}") for k in (1, 2)]
-    sets = held.groupBy("h1", "h2").agg(*big, F.count("*").alias("n"))
-    one = sets.groupBy("s1", "s2", "n").agg(F.min(F.struct("h1", "h2")).alias("h")).select("h.h1", "h.h2")
+def shared_spans(candidates: DataFrame) -> DataFrame:
+    """The rows of ``candidate_spans`` whose span another record holds as well."""
+    shared = candidates.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("h1", "h2")
+    return candidates.join(shared, ["h1", "h2"], "left_semi")
+
+
+def span_pairs(candidates: DataFrame) -> DataFrame:
+    """doc_id_a, doc_id_b (a < b) of every two records that hold one of ``candidate_spans``; each pair once."""
+    held = candidates.where("first_here").select("h1", "h2", "doc")
+    # spans with the same set of records: two sums (without carry) of hashes of the records and their number tell the sets apart
+    prints = [F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    sets = held.groupBy("h1", "h2").agg(*prints, F.count("*").alias("n")).where("n > 1")
+    one = sets.groupBy("x1", "x2", "n").agg(F.min(F.struct("h1", "h2")).alias("h")).select("h.h1", "h.h2")
     held = held.join(one, ["h1", "h2"], "left_semi")
     a, b = held.withColumnRenamed("doc", "doc_id_a"), held.withColumnRenamed("doc", "doc_id_b")
     return a.join(b, ["h1", "h2"]).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b").distinct()
@@ -191,9 +195,7 @@ def shared_share(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id",
 
     Null texts have n_chars 0; the share of an empty text is 0.
     """
-    # starts come as stretches: each start covers up to the next one, at most ``span`` characters
-    from pyspark.sql import Window
-
+    # each start covers the characters up to the next one, at most ``span``
     nxt = F.lead("at").over(Window.partitionBy("doc").orderBy("at"))
     covered = spans.select("doc", "at").withColumn("c", F.least(F.lit(span), F.coalesce(nxt - F.col("at"), F.lit(span))))
     covered = covered.groupBy("doc").agg(F.sum("c").alias("shared_chars"))
