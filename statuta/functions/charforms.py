@@ -37,7 +37,8 @@ ODD_CLASS = (
     r"\u00a0\u00ad\u0250-\u02af\u0300-\u036f\u0370-\u058f\u061c\u115f\u1160\u1680\u17b4\u17b5\u180b-\u180e\u1ab0-\u1aff\u1dc0-\u1dff"
     r"\u2000-\u2011\u2028-\u202f\u205f-\u206f\u20d0-\u20ff\u2126\u212a\u212b\u2160-\u217f\u3000\ua731\ufb00-\ufb06\ufe00-\ufe0f\ufe63\ufeff\uff01-\uff5e"
 )
-ODD_JAVA = f"[{ODD_CLASS}\\x{{1d400}}-\\x{{1d7ff}}]"
+# the long class is tried only on characters beyond ASCII, which one comparison finds
+ODD_JAVA = f"[^\\x00-\\x9f](?<=[{ODD_CLASS}\\x{{1d400}}-\\x{{1d7ff}}])"
 ODD = re.compile(f"[{ODD_CLASS}\U0001d400-\U0001d7ff]")
 IGNORABLE = re.compile(f"[{IGNORABLE_CLASS}]")
 #: A word with its marks and ignorables; what stands between words is treated character by character.

@@ -7,7 +7,7 @@ look at the texts; all others are settled by hashes. The evidence for a text:
 * its first and last lines are not boilerplate, i.e. lines that stand at the edge of texts of many other sections,
 * it is not another text of the key with a part missing, unless the same text was delivered for another date as well.
 
-Rows without gsn, date or section id belong to no key and are left out.
+Rows without rec_id, gsn, date or section id belong to no key and are left out.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.charforms import consistent_form
 from ..functions.integrity import broken_characters, cut_off, repeats
 from ..functions.section_ids import regular_id
+from ..sources.stored import stored
 
 KEY = ["gsn", "fassung_vom", "section"]
 #: Texts of one key that a judge compares at a time. More than that are split into buckets by hash.
@@ -32,11 +33,10 @@ Text = tuple[str | None, bool, bool]
 Judge = Callable[[Sequence[Text]], list[float]]
 
 
-def keyed(fassung: DataFrame, *more: str) -> DataFrame:
-    """rec_id, the key, text (consistent body), text_hash and the columns named; no row without a full key."""
-    rows = fassung.select("rec_id", "gsn", "fassung_vom", regular_id(F.col("section_id")).alias("section"), consistent_form(F.col("body")).alias("text"), *more)
-    rows = rows.where(F.col("gsn").isNotNull() & F.col("fassung_vom").isNotNull() & F.col("section").isNotNull())
-    return rows.withColumn("text_hash", text_hash(F.col("text")))
+def keyed(fassung: DataFrame, *more: str | Column) -> DataFrame:
+    """rec_id, the key, text_hash (of the consistent body) and the columns named; no row without a full key."""
+    rows = fassung.select("rec_id", "gsn", "fassung_vom", regular_id(F.col("section_id")).alias("section"), text_hash(consistent_form(F.col("body"))).alias("text_hash"), *more)
+    return rows.where(F.col("rec_id").isNotNull() & F.col("gsn").isNotNull() & F.col("fassung_vom").isNotNull() & F.col("section").isNotNull())
 
 
 def text_hash(text: Column) -> Column:
@@ -75,14 +75,17 @@ def judge_by_parts(texts: Sequence[Text]) -> list[float]:
     return damage
 
 
-def conflicting(rows: DataFrame) -> DataFrame:
+def conflicting(fassung: DataFrame, rows: DataFrame) -> DataFrame:
     """The texts of all keys with different texts: key, text_hash, text, elsewhere, edge, bucket; each text once a key.
 
-    ``rows`` comes from ``keyed``. Hashes decide which keys these are, so that only their texts are moved.
+    ``rows`` comes from ``keyed`` over ``fassung`` (stored, as it is read several times). Hashes decide which keys
+    these are; only one row of each of their texts is looked up in ``fassung``.
     """
-    hashes = rows.select(*KEY, "text_hash")
+    hashes = rows.select("rec_id", *KEY, "text_hash")
     keys = hashes.groupBy(*KEY).agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi")).where("lo != hi").select(*KEY)
-    texts = rows.join(keys, KEY, "left_semi").groupBy(*KEY, "text_hash").agg(F.max("text").alias("text"))
+    wanted = hashes.join(keys, KEY, "left_semi").groupBy(*KEY, "text_hash").agg(F.min("rec_id").alias("rec_id"))
+    bodies = fassung.select("rec_id", "body").join(wanted, "rec_id")
+    texts = stored(bodies.select(*KEY, "text_hash", consistent_form(F.col("body")).alias("text")).dropDuplicates([*KEY, "text_hash"]))
     dates = hashes.groupBy("gsn", "section", "text_hash").agg((F.min("fassung_vom") != F.max("fassung_vom")).alias("elsewhere"))
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.btrim(x)), lambda x: x != "")
     edges = texts.select(*KEY, "text_hash", lines.alias("lines")).select(*KEY, "text_hash", F.explode(F.array_distinct(F.array(F.xxhash64(F.get("lines", F.lit(0))), F.xxhash64(F.try_element_at("lines", F.lit(-1)))))).alias("line"))
@@ -132,6 +135,6 @@ def kept_texts(fassung: DataFrame, quellen: DataFrame, judge: Judge = judge_by_p
     Kept is an undamaged text, among several that of the lowest source rank, then of the latest load, then of the
     lowest rec_id. If all are damaged, the least damaged one is kept.
     """
-    rows = ranked(keyed(fassung, "quelle", "geladen_am"), quellen)
-    damage = judged(conflicting(rows), judge)
-    return rows.drop("text").join(damage, [*KEY, "text_hash"], "left").withColumn("damage", F.coalesce("damage", F.lit(0.0))).groupBy(*KEY).agg(F.min_by(F.struct("rec_id", "text_hash"), best(["damage"])).alias("_b")).select(*KEY, "_b.rec_id", "_b.text_hash")
+    rows = stored(keyed(fassung, "quelle", "geladen_am"))
+    damage = judged(conflicting(fassung, rows), judge)
+    return ranked(rows, quellen).join(damage, [*KEY, "text_hash"], "left").withColumn("damage", F.coalesce("damage", F.lit(0.0))).groupBy(*KEY).agg(F.min_by(F.struct("rec_id", "text_hash"), best(["damage"])).alias("_b")).select(*KEY, "_b.rec_id", "_b.text_hash")
