@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.charforms import consistent_form
 from ..functions.integrity import BROKEN
 from ..operators.duplicates import KEY, Text, best, conflicting, intrinsic_damage, judged, keyed, ranked
+from ..sources.stored import stored
 
 DAMAGED, INTACT, KNOWN = 0.001, 1.0, 3.0
 #: Equal tokens in a row that show that two stretches of text belong together.
@@ -238,10 +239,9 @@ def usable_heading(heading: Column) -> Column:
 
 def survivors(fassung: DataFrame, quellen: DataFrame) -> DataFrame:
     """body_rec_id, heading_rec_id and the key of every key with two rows or more."""
-    rows = ranked(keyed(fassung, "heading", "quelle", "geladen_am"), quellen)
-    damage = judged(conflicting(rows), judge_by_consensus)
-    rows = rows.drop("text").withColumn("usable", usable_heading(consistent_form(F.col("heading")))).drop("heading")
-    rows = rows.join(damage, [*KEY, "text_hash"], "left").withColumn("damage", F.coalesce("damage", F.lit(0.0)))
+    rows = stored(keyed(fassung, "quelle", "geladen_am", usable_heading(consistent_form(F.col("heading"))).alias("usable")))
+    damage = judged(conflicting(fassung, rows), judge_by_consensus)
+    rows = ranked(rows, quellen).join(damage, [*KEY, "text_hash"], "left").withColumn("damage", F.coalesce("damage", F.lit(0.0)))
     groups = rows.groupBy(*KEY).agg(
         F.count("*").alias("n"),
         F.min_by(F.struct("rec_id", "usable"), best(["damage"])).alias("body"),
