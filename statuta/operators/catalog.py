@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.law_text import clean_law_name, extract_year, jaccard_words, normalize_name, strip
 from ..functions.sequences import matching_ratio
+from ..sources.stored import stored
 
 
 def deduplicated(catalog: DataFrame) -> DataFrame:
@@ -92,8 +93,10 @@ def _best(pairs: DataFrame, min_score: float) -> DataFrame:
 
 def match_blocked_fuzzy(entries: DataFrame, catalog: DataFrame, min_score: float = 0.6) -> DataFrame:
     """entry_id, gsn, score: six parts common words, four parts matching characters."""
-    p = blocked_pairs(entries, catalog).withColumn("ratio", matching_ratio("a", "b"))
-    score = F.when(F.col("a") == F.col("b"), 1.0).otherwise(0.6 * jaccard_words(F.col("a"), F.col("b")) + 0.4 * F.col("ratio"))
+    # characters add 0.4 at most: pairs whose common words can't make up for the rest never reach Python
+    p = blocked_pairs(entries, catalog).withColumn("words", jaccard_words(F.col("a"), F.col("b"))).where(0.6 * F.col("words") + 0.4 >= min_score)
+    p = p.withColumn("ratio", matching_ratio("a", "b"))
+    score = F.when(F.col("a") == F.col("b"), 1.0).otherwise(0.6 * F.col("words") + 0.4 * F.col("ratio"))
     return _best(p.withColumn("score", score), min_score)
 
 
@@ -101,7 +104,7 @@ def match_cascade(entries: DataFrame, catalog: DataFrame, min_score: float = 0.6
     """entry_id, gsn, score, status (matched, ambiguous, unmatched) by the first step that finds anything."""
     left, found = entries, None
     for step in (match_exact, match_normalized, match_containment, lambda e, c: match_blocked_fuzzy(e, c, min_score)):
-        hit = step(left, catalog)
+        hit = stored(step(left, catalog))
         found = hit if found is None else found.unionByName(hit)
         left = left.join(hit.select("entry_id"), "entry_id", "left_anti")
     n = F.count("*").over(Window.partitionBy("entry_id"))
