@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import law_text as t
-from ..functions.sequences import paragraph_diff, word_diff
+from ..functions import sequences as seq
 from ..operators import catalog as cat
 from ..operators import diffing, quality
 from ..operators import versions as ver
@@ -101,6 +101,36 @@ def para_sql(b: str) -> str:
     return f"list_filter(list_transform(string_split(regexp_replace(coalesce({b}, ''), '(\\(\\d+[a-z]?\\))', chr(1) || '\\1', 'g'), chr(1)), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))), lambda p: p <> '')"
 
 
+def roman_sql(x: str) -> str:
+    v = lambda i: f"coalesce(list_extract([1, 5, 10, 50, 100, 500, 1000], strpos('IVXLCDM', nullif(substr(upper({x}), cast({i} as integer), 1), ''))), 0)"
+    return f"case when {x} = '' then 0 when regexp_matches(upper({x}), '^[IVXLCDM]+$') then cast(list_sum(list_transform(range(1, length({x}) + 1), lambda i: case when {v('i')} >= {v('i + 1')} then {v('i')} else -{v('i')} end)) as integer) end"
+
+
+def key_sql(s: str) -> list[str]:
+    """Eight expressions to order ids by, nulls first."""
+    both, simple = "^Art_([^_]+)_§_(\\d+)([a-z]?)(?:_(\\d+))?$", "^([^_]*)_(\\d+)([a-z]?)(?:_(\\d+))?$"
+    g = lambda p, k, x=s: f"regexp_extract({x}, '{p}', {k})"
+    n = lambda x: f"try_cast(nullif({x}, '') as integer)"
+    is_both, is_simple, has = f"regexp_matches({s}, '{both}')", f"regexp_matches({s}, '{simple}')", f"contains({s}, '_')"
+    art, rest, hashed = g(both, 1), f"substr({s}, strpos({s}, '_') + 1)", n(g("^Section-(\\d+)", 1))
+    rank = f"case string_split({s}, '_')[1] when '§' then 0 when 'Art' then 1 when 'Anlage' then 2 else 3 end"
+    ra, rr, an = roman_sql(art), roman_sql(rest), n(g("^(\\d+)[a-z]?$", 1, art))
+    return [
+        f"case when {is_both} then 1 when {has} then {rank} when {hashed} is not null then 3 else 4 end",
+        f"case when {is_both} then case when ({ra}) is not null then 1 else 0 end when {is_simple} then 0 when {has} and ({rr}) is not null then 1 else 0 end",
+        f"case when {is_both} then coalesce({ra}, {an}, 0) when {is_simple} then {n(g(simple, 2))} when {has} then coalesce({rr}, {hashed}, 0) else coalesce({hashed}, 0) end",
+        f"case when {is_both} then case when ({ra}) is not null then '' when {an} is not null then {g('^[0-9]+([a-z]?)$', 1, art)} else {art} end when {is_simple} then {g(simple, 3)} when {has} and ({rr}) is not null then '' when {hashed} is not null then '' else {s} end",
+        f"case when {is_both} then 0 when {is_simple} then coalesce({n(g(simple, 4))}, 0) end",
+        f"case when {is_both} then {n(g(both, 2))} end",
+        f"case when {is_both} then {g(both, 3)} end",
+        f"case when {is_both} then coalesce({n(g(both, 4))}, 0) end",
+    ]
+
+
+def order_sql(s: str = "section_id") -> str:
+    return ", ".join(f"{x} nulls first" for x in key_sql(s))
+
+
 SNAP = """snap as (select gsn as abbrev, fassung_vom, section_id, heading, body, section_type, rec_id as arrival from fassung
   where gsn is not null and fassung_vom is not null and section_id is not null and body <> ''
   qualify row_number() over (partition by gsn, fassung_vom, section_id order by length(body) desc, rec_id) = 1)"""
@@ -137,6 +167,7 @@ CHG = f"""{NORM}, nxt as (select *, lead(fassung_vom) over (partition by abbrev
  chg as (select coalesce(o.abbrev, n.abbrev) as abbrev, coalesce(o.fassung_vom, n.fassung_vom) as fassung_vom, coalesce(o.section_id, n.section_id) as section_id,
    case when o.section_id is null then 'added' when n.section_id is null then 'removed' else 'modified' end as change_kind
   from o full outer join n on o.abbrev = n.abbrev and o.fassung_vom = n.fassung_vom and o.section_id = n.section_id where o.body is distinct from n.body)"""
+LISTS = f"""{CHG}, ids as (select abbrev, fassung_vom, list(section_id order by {order_sql()}) as l from chg group by all), lists as (select v.abbrev, v.fassung_vom, v.seq, coalesce(l, []) as changed from vers v left join ids using (abbrev, fassung_vom))"""
 CATALOG = "cat as (select gsn, name, abbrev, typ, cat_id from law_catalog_merged where gsn is not null qualify row_number() over (partition by gsn order by cat_id desc) = 1)"
 CLEAN = "regexp_replace(trim(replace(coalesce({0}, ''), chr(160), ' ')), '^\\d+\\.\\s+', '')"
 NN = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))), '\\s+', ' ', 'g'), '\\b(19|20)\\d{{2}}\\b', '', 'g'), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
@@ -354,14 +385,16 @@ def changed_sections(spark, d):
     return ver.changed_sections(normalized(spark, d))
 
 
-@query()
+@query(f"with {LISTS} select abbrev, fassung_vom, changed[1:8] as shown, cast(greatest(len(changed) - 8, 0) as integer) as more from lists")
 def changed_preview(spark, d):
     """The first eight changed sections of each version, and how many more there are."""
     c = ver.changed_lists(normalized(spark, d))
     return c.select(*ver.VERSION, F.slice("changed", 1, 8).alias("shown"), F.greatest(F.size("changed") - 8, F.lit(0)).alias("more"))
 
 
-@query()
+@query(f"""with {ASOF}, {LISTS[LISTS.index("nxt as"):]}, tot as (select * from (select abbrev, fassung_vom, count(*) as sections from recon group by all) qualify fassung_vom = max(fassung_vom) over (partition by abbrev)),
+  first as (select gsn, fassung_vom, aenderung from law_versions qualify row_number() over (partition by gsn, fassung_vom order by version_id) = 1)
+  select l.abbrev, l.fassung_vom, f.aenderung, t.sections, cast(len(changed) as integer) as changed_count, changed[1:30] as changed_sections from lists l left join tot t using (abbrev, fassung_vom) left join first f on f.gsn = l.abbrev and f.fassung_vom = l.fassung_vom""")
 def law_detail(spark, d):
     """Each version, newest first, with its amendment, its changes (30 at most are listed) and, for the newest, all sections."""
     s = normalized(spark, d)
@@ -453,7 +486,7 @@ def law_sort_modes(spark, d):
     return _index(spark, d, snapshot(spark, d)).select("abbrev", place("abbrev").alias("by_name"), place(F.desc("versions"), "abbrev").alias("by_versions"), place(F.desc("sections"), "abbrev").alias("by_sections"))
 
 
-@query()
+@query(f"with {NORM}, last as (select * from norm qualify seq = max(seq) over (partition by abbrev)) select abbrev, section_id, cast(row_number() over (partition by abbrev order by {order_sql()}, section_id) as integer) as place from last")
 def section_natural_sort(spark, d):
     """The sections of each law's newest version in natural order."""
     s = newest(normalized(spark, d))
@@ -464,7 +497,13 @@ def section_natural_sort(spark, d):
 # --- scalar functions
 
 
-@query()
+LEAD = "(?i)^(?:Art(?:ikel)?\\.?\\s*)?§\\.?\\s*(\\d+[a-z]?)"
+ART = "(?i)^Art(?:ikel)?\\.?\\s*([IVXLCDM]+|\\d+)"
+
+
+@query(f"""select rec_id, case when regexp_matches(h, '{LEAD}\\b') then '§_' || regexp_extract(h, '{LEAD}\\b', 1) when regexp_matches(h, '{ART}\\b') then 'Art_' || regexp_extract(h, '{ART}\\b', 1)
+  when regexp_matches(h, '(?i)^Anlage\\s+(\\d+[a-z]?)') then 'Anlage_' || regexp_extract(h, '(?i)^Anlage\\s+(\\d+[a-z]?)', 1) when regexp_matches(b, '{LEAD}\\.?\\s') then '§_' || regexp_extract(b, '{LEAD}\\.?\\s', 1)
+  when regexp_matches(b, '{ART}') then 'Art_' || regexp_extract(b, '{ART}', 1) else 'Section-' || (cast('0x' || left(md5(b), 8) as bigint) % 10000) end as section_id from (select rec_id, coalesce(heading, '') as h, coalesce(body, '') as b from fassung)""")
 def derive_section_id(spark, d):
     x = table(spark, d, "fassung")
     return x.select("rec_id", t.derive_section_id(F.lit(""), F.lit(""), F.col("heading"), F.col("body")).alias("section_id"))
@@ -634,17 +673,17 @@ def count_by_type(spark, d):
 
 
 @query()
-def paragraph_diffs(spark, d):
+def paragraph_diff(spark, d):
     """The edit script of paragraphs of every changed section of consecutive versions."""
     c = _diff(spark, d).where("change_kind = 'changed'")
-    return c.select(*ver.VERSION, "section_id", paragraph_diff(t.paragraphs(F.col("old_body")), t.paragraphs(F.col("new_body"))).alias("script"))
+    return c.select(*ver.VERSION, "section_id", seq.paragraph_diff(t.paragraphs(F.col("old_body")), t.paragraphs(F.col("new_body"))).alias("script"))
 
 
 @query()
-def word_diffs(spark, d):
+def word_diff(spark, d):
     """The edit script of words of every modified paragraph."""
-    m = paragraph_diffs(spark, d).select(*ver.VERSION, "section_id", F.posexplode("script").alias("no", "s")).where("s.op = 'modified'")
-    return m.select(*ver.VERSION, "section_id", "no", word_diff(t.word_tokens(F.col("s.old")), t.word_tokens(F.col("s.new"))).alias("script"))
+    m = paragraph_diff(spark, d).select(*ver.VERSION, "section_id", F.posexplode("script").alias("no", "s")).where("s.op = 'modified'")
+    return m.select(*ver.VERSION, "section_id", "no", seq.word_diff(t.word_tokens(F.col("s.old")), t.word_tokens(F.col("s.new"))).alias("script"))
 
 
 @query()
