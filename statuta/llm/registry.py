@@ -61,7 +61,8 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """doc_id_a, doc_id_b of every two documents that share a run of 200 characters or more."""
-    return spans.span_pairs(spans.candidate_spans(table(spark, d, "documents")))
+    docs = table(spark, d, "documents")
+    return spans.record_pairs(spans.text_pairs(spans.candidate_spans(docs)), spans.members(docs))
 
 
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:

@@ -8,13 +8,13 @@ common. Comparing all windows would move a hash for every character, so candidat
    subsequences that start in [l, c] and end in [c, r] share the min-hash of c, and form the compact window (l, c, r).
    Only windows that hold a subsequence of ``SPAN - GRAM + 1`` tokens, those of one span, are made: about
    2 n / (SPAN - GRAM) in a text of n characters. The tree is built from the top, by leftmost minima.
-2. Windows of different records with the same min-hash are joined. A span that two records share holds the same
+2. Windows of different texts with the same min-hash are joined. A span that two records share holds the same
    tokens in both, so its least token is the same: one min-hash finds every shared span.
 3. Verification: of windows that met another record's, the starts of all spans with this least token (an interval
    given by l, c and r) are hashed over their whole ``SPAN`` characters, by two independent hashes (96 bits).
    Equal hashes of two records are shared spans.
 
-Verified spans are grouped by hash. Consecutive spans of a passage have the same set of records; each such set is
+Copies of a text are one text in all of this; their pairs are added at the end. Verified spans are grouped by hash. Consecutive spans of a passage have the same set of records; each such set is
 expanded into pairs once. A frequent token that many records hold, but in different surroundings, costs its windows'
 rows and no pairs. Every row has the same part in the work whether its text is long, short or repeated.
 
@@ -146,16 +146,23 @@ def windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     return docs.mapInArrow(run, "doc long, token long, first int, last int")
 
 
-def candidate_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """doc, at, first_here, h1, h2 of every start of a span whose least token another record has too (a stored table).
+def members(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
+    """doc_id, doc, check of every record of ``span`` characters or more: doc stands for its text, alike for copies."""
+    long_ones = documents.where(F.length(text) >= span)
+    return long_ones.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc"), F.xxhash64(text, F.lit(1)).alias("check"))
 
-    first_here marks the first of equal spans within a record. h1 and h2 (64 and 32 bits) are hashes of the whole span.
+
+def candidate_spans(documents: DataFrame, text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """doc, at, first_here, h1, h2 of every start of a span whose least token another text has too (a stored table).
+
+    doc is the hash of the whole text, so that copies count as one text. first_here marks the first of equal spans
+    within a text. h1 and h2 (64 and 32 bits) are hashes of the whole span.
     """
-    docs = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.length("text") >= span)
+    docs = documents.select(F.col(text).alias("text")).where(F.length("text") >= span).select(F.xxhash64("text").alias("doc"), "text")
     found = stored(windows(docs, span, gram))
     met = found.groupBy("token").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("token")
     starts = found.join(met, "token", "left_semi").select("doc", F.struct("first", "last").alias("w"))
-    starts = starts.groupBy("doc").agg(F.collect_list("w").alias("ws"))  # bounded by the text's own length
+    starts = starts.groupBy("doc").agg(F.collect_set("w").alias("ws"))  # bounded by the text's own length
     schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("first_here", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,36 +176,49 @@ def candidate_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
                 p = slice(k, k + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at[p]), doc)), pa.array(at[p].astype(np.int32)), pa.array(once[p]), pa.array(h1[p].view(np.int64)), pa.array(h2[p])], schema=schema)
 
-    return stored(docs.join(starts, "doc").select("doc", "text", "ws").mapInArrow(run, "doc long, at int, first_here boolean, h1 long, h2 int"))
+    return stored(docs.join(starts, "doc").dropDuplicates(["doc"]).select("doc", "text", "ws").mapInArrow(run, "doc long, at int, first_here boolean, h1 long, h2 int"))
 
 
 def shared_spans(candidates: DataFrame) -> DataFrame:
-    """The rows of ``candidate_spans`` whose span another record holds as well."""
+    """The rows of ``candidate_spans`` whose span another text holds as well."""
     shared = candidates.groupBy("h1", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("h1", "h2")
     return candidates.join(shared, ["h1", "h2"], "left_semi")
 
 
-def span_pairs(candidates: DataFrame) -> DataFrame:
-    """doc_id_a, doc_id_b (a < b) of every two records that hold one of ``candidate_spans``; each pair once."""
+def text_pairs(candidates: DataFrame) -> DataFrame:
+    """a, b (a < b) of every two texts that hold one of ``candidate_spans``; each pair once."""
     held = candidates.where("first_here").select("h1", "h2", "doc")
     # spans with the same set of records: two sums (without carry) of hashes of the records and their number tell the sets apart
     prints = [F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     sets = held.groupBy("h1", "h2").agg(*prints, F.count("*").alias("n")).where("n > 1")
     one = sets.groupBy("x1", "x2", "n").agg(F.min(F.struct("h1", "h2")).alias("h")).select("h.h1", "h.h2")
     held = held.join(one, ["h1", "h2"], "left_semi")
-    a, b = held.withColumnRenamed("doc", "doc_id_a"), held.withColumnRenamed("doc", "doc_id_b")
-    return a.join(b, ["h1", "h2"]).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b").distinct()
+    a, b = held.withColumnRenamed("doc", "a"), held.withColumnRenamed("doc", "b")
+    return a.join(b, ["h1", "h2"]).where("a < b").select("a", "b").distinct()
+
+
+def record_pairs(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """doc_id_a, doc_id_b (a < b) of every two records (from ``members``) whose texts are a pair or the same."""
+    side = lambda k: records.select(F.col("doc").alias(k), F.col("doc_id").alias(f"doc_id_{k}"))
+    different = pairs.join(side("a"), "a").join(side("b"), "b").select(F.least("doc_id_a", "doc_id_b").alias("doc_id_a"), F.greatest("doc_id_a", "doc_id_b").alias("doc_id_b"))
+    copy = lambda k: records.select("doc", "check", F.col("doc_id").alias(f"doc_id_{k}"))
+    same = copy("a").join(copy("b"), ["doc", "check"]).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
+    return different.where("doc_id_a < doc_id_b").unionByName(same).distinct()
 
 
 def shared_share(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
     """doc_id, n_chars, shared_chars, share of every record: how many of its characters lie in a span held elsewhere.
 
-    Null texts have n_chars 0; the share of an empty text is 0.
+    ``spans`` comes from ``shared_spans``. A copy is shared as a whole if it has ``span`` characters. Null texts have
+    n_chars 0; the share of an empty text is 0.
     """
     # each start covers the characters up to the next one, at most ``span``
     nxt = F.lead("at").over(Window.partitionBy("doc").orderBy("at"))
     covered = spans.select("doc", "at").withColumn("c", F.least(F.lit(span), F.coalesce(nxt - F.col("at"), F.lit(span))))
-    covered = covered.groupBy("doc").agg(F.sum("c").alias("shared_chars"))
-    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"))
-    out = docs.join(covered.withColumnRenamed("doc", "doc_id"), "doc_id", "left").withColumn("shared_chars", F.coalesce("shared_chars", F.lit(0)))
+    covered = covered.groupBy("doc").agg(F.sum("c").alias("part"))
+    copies = members(documents, doc_id, text, span).groupBy("doc").agg((F.count("*") > 1).alias("copied"))
+    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"), F.xxhash64(text).alias("doc"))
+    out = docs.join(copies, "doc", "left").join(covered, "doc", "left")
+    shared = F.when(F.coalesce("copied", F.lit(False)), F.col("n_chars")).otherwise(F.coalesce("part", F.lit(0)))
+    out = out.select("doc_id", "n_chars", shared.cast("long").alias("shared_chars"))
     return out.withColumn("share", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(0.0))

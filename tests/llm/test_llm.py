@@ -89,14 +89,16 @@ def test_spans(spark, seed):
     word = lambda n: "".join(rng.choice("ab😀 c") for _ in range(n))
     shared = [word(rng.randint(15, 60)) for _ in range(5)]
     docs = [(k, "".join(rng.choice([word(rng.randint(0, 25)), rng.choice(shared)[: rng.randint(10, 60)]]) for _ in range(rng.randint(0, 6)))) for k in range(40)]
-    docs += [(40, None), (41, ""), (42, "a" * 500), (43, "xa" * 3 + "a" * 300), (44, "ab" * 200), (45, "ba" * 150), (46, docs[3][1]), (47, docs[3][1])]
+    docs += [(40, None), (41, ""), (42, "a" * 500), (43, "xa" * 3 + "a" * 300), (44, "ab" * 200), (45, "ba" * 150), (46, docs[3][1]), (47, docs[3][1]), (48, word(70))]
+    docs += [(49, docs[48][1]), (50, docs[48][1]), (51, "short"), (52, "short")]
     pairs, cover = brute_spans(docs, 20)
     df = spark.createDataFrame([(i, x, 1) for i, x in docs], "doc_id long, text string, at int")
     cand = spans.candidate_spans(df, span=20, gram=11)
-    assert set(rows_of(spans.span_pairs(cand))) == pairs and spans.span_pairs(cand).count() == len(pairs)
+    found = rows_of(spans.record_pairs(spans.text_pairs(cand), spans.members(df, span=20)))
+    assert set(found) == pairs and len(found) == len(pairs)
     share = {r.doc_id: (r.shared_chars, r.n_chars) for r in spans.shared_share(df, spans.shared_spans(cand), span=20).collect()}
     assert share == {i: (cover[i], len(x or "")) for i, x in docs}
-    assert spans.span_pairs(spans.candidate_spans(df.limit(0))).count() == 0
+    assert spans.text_pairs(spans.candidate_spans(df.limit(0))).count() == 0
 
 
 @settings(max_examples=200, deadline=None)
