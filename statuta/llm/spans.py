@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.stored import stored
+from ..sources.stored import discard, stored
 
 SPAN = 200
 GRAM = 100
@@ -176,7 +176,9 @@ def candidate_spans(documents: DataFrame, text: str = "text", span: int = SPAN,
                 p = slice(k, k + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at[p]), doc)), pa.array(at[p].astype(np.int32)), pa.array(once[p]), pa.array(h1[p].view(np.int64)), pa.array(h2[p])], schema=schema)
 
-    return stored(docs.join(starts, "doc").dropDuplicates(["doc"]).select("doc", "text", "ws").mapInArrow(run, "doc long, at int, first_here boolean, h1 long, h2 int"))
+    hashed = stored(docs.join(starts, "doc").dropDuplicates(["doc"]).select("doc", "text", "ws").mapInArrow(run, "doc long, at int, first_here boolean, h1 long, h2 int"))
+    discard(found)
+    return hashed
 
 
 def shared_spans(candidates: DataFrame) -> DataFrame:
