@@ -160,7 +160,8 @@ def candidate_spans(documents: DataFrame, text: str = "text", span: int = SPAN,
     """
     docs = documents.select(F.col(text).alias("text")).where(F.length("text") >= span).select(F.xxhash64("text").alias("doc"), "text")
     found = stored(windows(docs, span, gram))
-    met = found.groupBy("token").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("token")
+    # stored, so that its size is known when the join is planned: only a small one is broadcast
+    met = stored(found.groupBy("token").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("token"))
     starts = found.join(met, "token", "left_semi").select("doc", F.struct("first", "last").alias("w"))
     starts = starts.groupBy("doc").agg(F.collect_set("w").alias("ws"))  # bounded by the text's own length
     schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("first_here", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int32())])
@@ -190,13 +191,15 @@ def shared_spans(candidates: DataFrame) -> DataFrame:
 def text_pairs(candidates: DataFrame) -> DataFrame:
     """a, b (a < b) of every two texts that hold one of ``candidate_spans``; each pair once."""
     held = candidates.where("first_here").select("h1", "h2", "doc")
-    # spans with the same set of records: two sums (without carry) of hashes of the records and their number tell the sets apart
-    prints = [F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
-    sets = held.groupBy("h1", "h2").agg(*prints, F.count("*").alias("n")).where("n > 1")
-    one = sets.groupBy("x1", "x2", "n").agg(F.min(F.struct("h1", "h2")).alias("h")).select("h.h1", "h.h2")
-    held = held.join(one, ["h1", "h2"], "left_semi")
+    # spans with the same set of texts: number, least, greatest and sum without carry of the texts' hashes tell the
+    # sets apart; one span stands for each set
+    prints = [f("doc").alias(k) for k, f in (("lo", F.min), ("hi", F.max), ("x", F.bit_xor), ("n", F.count))]
+    sets = held.groupBy("h1", "h2").agg(*prints).where("n > 1").groupBy("lo", "hi", "x", "n").agg(F.min(F.struct("h1", "h2")).alias("h"))
+    sets = stored(sets)
+    two = sets.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
+    held = held.join(sets.where("n > 2").select("h.h1", "h.h2"), ["h1", "h2"], "left_semi")
     a, b = held.withColumnRenamed("doc", "a"), held.withColumnRenamed("doc", "b")
-    return a.join(b, ["h1", "h2"]).where("a < b").select("a", "b").distinct()
+    return two.unionByName(a.join(b, ["h1", "h2"]).where("a < b").select("a", "b")).distinct()
 
 
 def record_pairs(pairs: DataFrame, records: DataFrame) -> DataFrame:
