@@ -9,6 +9,7 @@ from ..functions.law_text import strip
 
 BY = ["abbrev", "fassung_vom"]
 SEVERITIES = ("INFO", "WARNING", "CRITICAL")
+# The form of a date in a message; thresholds below are those of the rules.
 DATED = r"\[\d{4}-\d{2}-\d{2}\]"
 
 

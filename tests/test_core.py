@@ -220,6 +220,21 @@ def test_replies(spark, tmp_path):
     assert (got.nor_id, got.typ, got.name, got.apa) == ("N1", "BG", "K", "")
 
 
+def test_paging(monkeypatch):
+    from statuta.sources.paged_api import PagedReader
+
+    asked = []
+
+    def ask(self, parameters):
+        asked.append(parameters["Seitennummer"])
+        page = int(parameters["Seitennummer"])
+        return {"OgdSearchResult": {"OgdDocumentResults": {"OgdDocumentReference": [{}] * (100 if page < 3 else 7), "Hits": {"#text": "207", "@pageSize": "100", "@pageNumber": str(page)}}}}
+
+    monkeypatch.setattr(PagedReader, "ask", ask)
+    reader = PagedReader({"url": "x", "keys": '[{"Gesetzesnummer": "1"}, {"Gesetzesnummer": "2"}]'})
+    assert len(reader.partitions()) == 2 and len(list(reader.read(reader.partitions()[0]))) == 207 and asked == ["1", "2", "3"]
+
+
 def test_store_and_cli(spark, tmp_path):
     from statuta.api import LawStore, render
 
