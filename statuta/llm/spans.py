@@ -36,6 +36,7 @@ SPAN = 200
 GRAM = 100
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03  # odd multipliers of the rolling hashes
 _CHARS_AT_A_TIME = 400_000
+_ROWS_AT_A_TIME = 50_000
 _U = np.uint64
 
 
@@ -167,15 +168,27 @@ def candidate_spans(documents: DataFrame, text: str = "text", span: int = SPAN,
     schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("first_here", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        n = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            for k in range(0, n, _ROWS_AT_A_TIME):
+                yield pa.RecordBatch.from_arrays([pa.array(c[k : k + _ROWS_AT_A_TIME]) for c in columns], schema=schema)
+
         for doc, codes, (ws,) in _texts(batches, span):
             at = np.unique(np.concatenate([np.arange(w["first"], w["last"] + 1) for w in ws]))
             h1, h2 = Rolling(codes, _B1).at(at, span), Rolling(codes, _B2).at(at, span)
             once = np.zeros(len(at), bool)
             once[np.unique(h1, return_index=True)[1]] = True
             h2 = (h2 >> _U(32)).astype(np.uint32).view(np.int32)
-            for k in range(0, len(at), 100_000):
-                p = slice(k, k + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at[p]), doc)), pa.array(at[p].astype(np.int32)), pa.array(once[p]), pa.array(h1[p].view(np.int64)), pa.array(h2[p])], schema=schema)
+            parts.append((np.full(len(at), doc), at.astype(np.int32), once, h1.view(np.int64), h2))
+            n += len(at)
+            if n >= _ROWS_AT_A_TIME:
+                yield from flush()
+                parts, n = [], 0
+        if n:
+            yield from flush()
 
     hashed = stored(docs.join(starts, "doc").dropDuplicates(["doc"]).select("doc", "text", "ws").mapInArrow(run, "doc long, at int, first_here boolean, h1 long, h2 int"))
     discard(found)
