@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.charforms import consistent_form
@@ -28,6 +28,8 @@ KEY = ["gsn", "fassung_vom", "section"]
 BUCKET = 128
 #: From this many sections on a line at the edge of a text counts as boilerplate.
 BOILERPLATE = 3
+#: So many words show that a part is missing in the middle of a text.
+WORDS = 3
 #: What a judge gets of each text: the text, whether it was delivered for another date, whether an edge is boilerplate.
 Text = tuple[str | None, bool, bool]
 Judge = Callable[[Sequence[Text]], list[float]]
@@ -52,7 +54,7 @@ def intrinsic_damage(text: str | None) -> float:
 
 
 def lacks_part_of(a: str, b: str) -> bool:
-    """Whether ``a`` is ``b`` with one connected part left out."""
+    """Whether ``a`` is ``b`` without its end, or with one connected part of some words left out."""
     if len(a) >= len(b):
         return False
     head = 0
@@ -61,7 +63,10 @@ def lacks_part_of(a: str, b: str) -> bool:
     tail = 0
     while tail < len(a) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
-    return head + tail >= len(a)
+    if head + tail < len(a):
+        return False
+    # a number or a word that is longer in ``b`` is another wording, nothing that is missing
+    return tail == 0 or len(b[head : len(b) - tail].split()) >= WORDS
 
 
 def judge_by_parts(texts: Sequence[Text]) -> list[float]:
@@ -91,12 +96,13 @@ def conflicting(fassung: DataFrame, rows: DataFrame) -> DataFrame:
     edges = texts.select(*KEY, "text_hash", lines.alias("lines")).select(*KEY, "text_hash", F.explode(F.array_distinct(F.array(F.xxhash64(F.get("lines", F.lit(0))), F.xxhash64(F.try_element_at("lines", F.lit(-1)))))).alias("line"))
     common = edges.groupBy("line").agg(F.countDistinct("gsn", "section").alias("n")).where(F.col("n") >= BOILERPLATE).select("line")
     edge = edges.join(common, "line", "left_semi").select(*KEY, "text_hash").distinct().withColumn("edge", F.lit(True))
-    n = F.count("*").over(Window.partitionBy(*KEY))
+    sizes = texts.groupBy(*KEY).agg(F.count("*").alias("n"))
     return (
-        texts.join(dates, ["gsn", "section", "text_hash"], "left")
+        texts.join(sizes, KEY).join(dates, ["gsn", "section", "text_hash"], "left")
         .join(edge, [*KEY, "text_hash"], "left")
         .withColumns({"elsewhere": F.coalesce("elsewhere", F.lit(False)), "edge": F.coalesce("edge", F.lit(False))})
-        .withColumn("bucket", F.pmod("text_hash", F.ceil(n / BUCKET)).cast("int"))
+        .withColumn("bucket", F.pmod("text_hash", F.ceil(F.col("n") / BUCKET)).cast("int"))
+        .drop("n")
     )
 
 

@@ -271,6 +271,27 @@ def test_stream(spark, tmp_path):
     assert sorted((r.abbrev, r.fassung_vom, r.body) for r in spark.read.parquet(out).collect()) == [("A", "d1", "viel länger"), ("A", "d2", "x"), ("B", "d1", "b")]
 
 
+def test_latest_writes(spark, tmp_path):
+    from datetime import datetime
+
+    from statuta.streaming.ingest import latest_writes
+
+    rows = [("A", datetime(2020, 1, 1, 5)), ("A", datetime(2020, 1, 1, 7)), ("B", datetime(2020, 1, 2)), ("A", datetime(2020, 2, 1)), ("A", None)]
+    df = spark.createDataFrame(rows, "gsn string, geladen_am timestamp_ntz")
+    df.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = latest_writes(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"))
+    stream.writeStream.format("memory").queryName("loads").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/ck").start().awaitTermination()
+    got = sorted((str(r.window.start)[:10], r.gsn, r.rows) for r in spark.table("loads").collect())
+    assert got == [("2020-01-01", "A", 2), ("2020-01-02", "B", 1), ("2020-02-01", "A", 1)]
+
+
+def test_many_wordings_of_one_section(spark):
+    full = "§ 1. Die Gebühr Nummer {0} beträgt zehn Euro im Jahr und ist am Ersten fällig."
+    rows = [(k, "g", "d", "§_1", None, full.format(k) if k % 3 else full.format(k)[:30], None, None) for k in range(600)]
+    q = spark.createDataFrame([("a", 1)], "quelle string, rang int")
+    assert [r.rec_id for r in kept_texts(fassung(spark, rows), q).collect()] == [1]
+
+
 def test_xml_sections(spark):
     from statuta.operators.xml_sections import parse_sections, unknown_tags
 
