@@ -5,8 +5,9 @@ words is traversed by a weighted edit automaton, in which look-alike characters,
 ignorable characters cost nothing and every other edit costs 1 (with a budget of 0 by default). Of the words reached
 at the least cost the most frequent one is the canonical spelling; a word that reaches none is normalised by table.
 
-The vocabulary is spread over buckets by a hash of the first letters that every word of the same looks has in common,
-so each trie holds one bucket only. Words are looked up once each, however often they occur.
+The vocabulary is spread over buckets by a hash of the looks, which words that reach each other at no cost have in
+common (with a budget: of its first letters), so each trie holds one bucket only; there are more buckets the larger
+the vocabulary is. Words are looked up once each, however often they occur.
 
 A word wholly in another script is only replaced if the vocabulary has a word that looks the same and it has two
 letters or more: otherwise it stands for itself. Null and empty texts stay as they are.
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from ..functions.charforms import _FOREIGN, _LATIN, _TABLE, IGNORABLE, LOOKALIKE, ODD, ODD_JAVA, WORD, looks_odd, plain_char, plain_word
 from ..sources.stored import stored
 
-#: Letters of the looks that decide the bucket, and the number of buckets.
+#: Letters of the looks that decide the bucket if edits are allowed.
 PREFIX = 4
-BUCKETS = 256
+#: Buckets at least, and vocabulary words a bucket at most, on average.
+BUCKETS, WORDS_A_BUCKET = 256, 20_000
 _END = ""
 
 
@@ -145,11 +147,13 @@ def odd_words(texts: DataFrame) -> DataFrame:
     return odd.mapInArrow(run, "tab string, rec_id long, field_name string, word string, looks string")
 
 
-def spellings(texts: DataFrame, occurrences: DataFrame, budget: int = 0, buckets: int = BUCKETS) -> DataFrame:
+def spellings(texts: DataFrame, occurrences: DataFrame, budget: int = 0) -> DataFrame:
     """word, canonical for every odd word of ``occurrences`` (from ``odd_words``), by the vocabulary of ``texts``."""
     plain = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}\x{ad}\x{200b}-\x{200f}\x{2060}\x{feff}\x{34f}]+"), F.lit(0))).alias("word")).where(~F.col("word").rlike(ODD_JAVA))
-    vocabulary = plain.groupBy("word").agg(F.count("*").alias("n"))
-    bucket = F.pmod(F.xxhash64(F.substring("looks", 1, PREFIX)), F.lit(buckets)).cast("int").alias("bucket")
+    vocabulary = stored(plain.groupBy("word").agg(F.count("*").alias("n")))
+    buckets = max(BUCKETS, vocabulary.count() // WORDS_A_BUCKET)
+    by = F.substring("looks", 1, PREFIX) if budget else F.col("looks")
+    bucket = F.pmod(F.xxhash64(by), F.lit(buckets)).cast("int").alias("bucket")
     entries = vocabulary.select(F.lit(0).alias("odd"), "word", F.col("word").alias("looks"), "n").select("odd", "word", "n", bucket)
     asked = occurrences.where("word is not null").select("word", "looks").distinct().select(F.lit(1).alias("odd"), "word", F.lit(0).cast("long").alias("n"), bucket)
     schema = pa.schema([("word", pa.string()), ("canonical", pa.string())])
