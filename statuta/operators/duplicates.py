@@ -7,13 +7,21 @@ look at the texts; all others are settled by hashes. The evidence for a text:
 * its first and last lines are not boilerplate, i.e. lines that stand at the edge of texts of many other sections,
 * it is not another text of the key with a part missing, unless the same text was delivered for another date as well.
 
+All texts of a key are judged together, however many there are. They are streamed to one worker in the order of their
+hashes, which holds the different texts of one key at a time.
+
 Rows without rec_id, gsn, date or section id belong to no key and are left out.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
+from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +32,10 @@ from ..functions.section_ids import regular_id
 from ..sources.stored import stored
 
 KEY = ["gsn", "fassung_vom", "section"]
-#: Texts of one key that a judge compares at a time. More than that are split into buckets by hash.
-BUCKET = 128
+#: Up to so many texts are searched for a missing part pair by pair, more of them by sorted order, with equal results.
+PAIRWISE = 32
+#: Rows of damage figures handed back to Spark at a time.
+ROWS = 10_000
 #: From this many sections on a line at the edge of a text counts as boilerplate.
 BOILERPLATE = 3
 #: So many words show that a part is missing in the middle of a text.
@@ -69,19 +79,55 @@ def lacks_part_of(a: str, b: str) -> bool:
     return tail == 0 or len(b[head : len(b) - tail].split()) >= WORDS
 
 
+class Wholes:
+    """Texts by their beginnings and by their ends, to find one of which another text is a part as in ``lacks_part_of``."""
+
+    def __init__(self, texts: Sequence[str]) -> None:
+        self.texts = sorted(set(texts))
+        by_end = sorted((t[::-1], k) for k, t in enumerate(self.texts))
+        self.ends = [t for t, _ in by_end]
+        self.place = np.empty(len(self.texts), np.int64)  # of each text in the order of the ends
+        self.place[[k for _, k in by_end]] = np.arange(len(by_end))
+
+    def _starting(self, texts: list[str], start: str, lo: int = 0, hi: int | None = None) -> tuple[int, int]:
+        lo = bisect_left(texts, start, lo, hi)
+        return lo, bisect_right(texts, start, lo, hi, key=lambda t: t[: len(start)])
+
+    def lacking(self, a: str) -> bool:
+        """Whether ``a`` lacks a part of one of the texts."""
+        lo, hi = self._starting(self.texts, a)
+        if hi - lo > (lo < hi and self.texts[lo] == a):
+            return True  # the beginning of a longer one
+        back = a[::-1]
+        # from long to short beginnings of a: the texts that share just this much with it stand on both sides of those that share more
+        while lo > 0 or hi < len(self.texts):
+            near = [self.texts[k] for k in (lo - 1, hi) if 0 <= k < len(self.texts)]
+            head = max(len(commonprefix([a, b])) for b in near)
+            left, right = self._starting(self.texts, a[:head]) if head else (0, len(self.texts))
+            p, q = self._starting(self.ends, back[: len(a) - head])
+            if p < q:
+                for part, first in ((self.place[left:lo], left), (self.place[hi:right], hi)):
+                    for k in np.flatnonzero((part >= p) & (part < q)):
+                        if lacks_part_of(a, self.texts[first + k]):
+                            return True
+            lo, hi = left, right
+        return False
+
+
 def judge_by_parts(texts: Sequence[Text]) -> list[float]:
     """A damage figure for each text, 0 for undamaged ones: signs of its own, boilerplate, a part missing."""
     damage = [intrinsic_damage(t) + 5.0 * edge for t, _, edge in texts]
     # the longer text may itself be cut off further on: what it has beyond the shorter one still is missing there
     whole = [t for (t, _, edge), d in zip(texts, damage, strict=True) if t and d <= 2.0]
+    wholes = Wholes(whole) if len(whole) > PAIRWISE else None
     for k, (t, elsewhere, _) in enumerate(texts):
-        if t and not elsewhere and damage[k] == 0 and any(lacks_part_of(t, w) for w in whole):
+        if t and not elsewhere and damage[k] == 0 and (wholes.lacking(t) if wholes else any(lacks_part_of(t, w) for w in whole)):
             damage[k] += 1.0
     return damage
 
 
 def conflicting(fassung: DataFrame, rows: DataFrame) -> DataFrame:
-    """The texts of all keys with different texts: key, text_hash, text, elsewhere, edge, bucket; each text once a key.
+    """The texts of all keys with different texts: key, text_hash, text, elsewhere, edge; each text once a key.
 
     ``rows`` comes from ``keyed`` over ``fassung`` (stored, as it is read several times). Hashes decide which keys
     these are; only one row of each of their texts is looked up in ``fassung``.
@@ -96,31 +142,37 @@ def conflicting(fassung: DataFrame, rows: DataFrame) -> DataFrame:
     edges = texts.select(*KEY, "text_hash", lines.alias("lines")).select(*KEY, "text_hash", F.explode(F.array_distinct(F.array(F.xxhash64(F.get("lines", F.lit(0))), F.xxhash64(F.try_element_at("lines", F.lit(-1)))))).alias("line"))
     common = edges.groupBy("line").agg(F.countDistinct("gsn", "section").alias("n")).where(F.col("n") >= BOILERPLATE).select("line")
     edge = edges.join(common, "line", "left_semi").select(*KEY, "text_hash").distinct().withColumn("edge", F.lit(True))
-    sizes = texts.groupBy(*KEY).agg(F.count("*").alias("n"))
     return (
-        texts.join(sizes, KEY).join(dates, ["gsn", "section", "text_hash"], "left")
+        texts.join(dates, ["gsn", "section", "text_hash"], "left")
         .join(edge, [*KEY, "text_hash"], "left")
         .withColumns({"elsewhere": F.coalesce("elsewhere", F.lit(False)), "edge": F.coalesce("edge", F.lit(False))})
-        .withColumn("bucket", F.pmod("text_hash", F.ceil(F.col("n") / BUCKET)).cast("int"))
-        .drop("n")
     )
 
 
 def judged(conflicts: DataFrame, judge: Judge = judge_by_parts) -> DataFrame:
     """key, text_hash, damage of every text of ``conflicting``."""
-    bucket = conflicts.groupBy(*KEY, "bucket").agg(F.collect_list(F.struct("text_hash", "text", "elsewhere", "edge")).alias("texts"))
+    columns = [*KEY, "text_hash", "text", "elsewhere", "edge"]
+    rows = conflicts.select(*columns).repartition(*KEY).sortWithinPartitions(*KEY, "text_hash")
     schema = pa.schema([*((c, pa.string()) for c in KEY), ("text_hash", pa.int64()), ("damage", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                texts = sorted(row["texts"], key=lambda x: x["text_hash"])
-                for x, d in zip(texts, judge([(x["text"], x["elsewhere"], x["edge"]) for x in texts]), strict=True):
-                    out.append([row[c] for c in KEY] + [x["text_hash"], d])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
-
-    return bucket.drop("bucket").mapInArrow(run, "gsn string, fassung_vom string, section string, text_hash long, damage double")
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
+
+        out: list[tuple] = []
+        one_by_one = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for key, group in groupby(one_by_one, key=itemgetter(0, 1, 2)):
+            hashes, texts = [], []
+            for row in group:
+                hashes.append(row[3])
+                texts.append(row[4:])
+            out += [(*key, h, d) for h, d in zip(hashes, judge(texts), strict=True)]
+            if len(out) >= ROWS:
+                yield batch_of(out)
+                out = []
+        yield batch_of(out)
+
+    return rows.mapInArrow(run, "gsn string, fassung_vom string, section string, text_hash long, damage double")
 
 
 def ranked(rows: DataFrame, quellen: DataFrame) -> DataFrame:

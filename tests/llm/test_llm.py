@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from statuta.llm import bpe, consensus, linkage, mixing, spans, spelling
+from statuta.operators.duplicates import conflicting, judged, keyed
 
 
 def rows_of(df):
@@ -212,6 +213,20 @@ def test_survivors(spark):
     assert consensus.survivors(df.limit(0), q).count() == 0
 
 
+def test_key_of_many_texts(spark):
+    """One consensus for all texts of a key, however many there are."""
+    texts = [FULL.replace("zehn", f"{k}") + f"\nNur im Fall {k} gilt Absatz {k % 7}." * (k % 50 == 0) for k in range(400)]
+    texts += [t[:70] for t in texts]
+    rows = [(k, "g", "d", "§_1", t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "rec_id long, gsn string, fassung_vom string, section_id string, body string")
+    conflicts = conflicting(df, keyed(df))
+    hashes = {r.text: r.text_hash for r in conflicts.collect()}
+    got = {r.text_hash: r.damage for r in judged(conflicts, consensus.judge_by_consensus).collect()}
+    order = sorted(hashes, key=hashes.get)
+    whole = consensus.judge_by_consensus([(t, False, False) for t in order])
+    assert [got[hashes[t]] for t in order] == whole and len(order) == len(set(texts)) > 700
+
+
 # --- linkage
 
 

@@ -12,7 +12,7 @@ from statuta.functions.charforms import consistent, consistent_form
 from statuta.functions.integrity import broken_characters, cut_off, repeats
 from statuta.functions.section_ids import regular_id
 from statuta.functions.sequences import common_subsequence, edit_script
-from statuta.operators.duplicates import judge_by_parts, kept_texts, lacks_part_of
+from statuta.operators.duplicates import Wholes, judge_by_parts, judged, kept_texts, lacks_part_of
 from statuta.operators.history import DeltaStore
 from statuta.operators.shred import numbered_descendants, parent_label, shred_array_levels, shred_xml, xml_nodes
 from statuta.operators.snapshot_diff import changes
@@ -304,3 +304,43 @@ def test_xml_sections(spark):
     assert r[0].body == "§ 5. Die Gebühr ist\nvorab\na) eins\n– zwei\nEnde."
     assert [(b.type, b.style) for b in r[0].body_blocks] == [("text", None), ("list", "schluss"), ("list", "letters"), ("list", "dash"), ("text", None)]
     assert [tuple(x) for x in unknown_tags(df).collect()] == [("neu", 1)]
+
+
+def test_missing_part_by_sorted_order():
+    """Many texts are searched by sorted order, with the results of comparing all pairs."""
+    import random
+
+    rng = random.Random(5)
+    for _ in range(60):
+        base = [rng.choice(["a ", "b ", "aa", "c\n"]) for _ in range(14)]
+        texts = ["".join(base[:i] + base[j:]) for i, j in (sorted((rng.randrange(15), rng.randrange(15))) for _ in range(40))]
+        texts += ["".join(rng.choice("ab ") for _ in range(rng.randrange(1, 9))) for _ in range(20)]
+        wholes = Wholes(texts)
+        assert [wholes.lacking(a) for a in texts] == [any(lacks_part_of(a, b) for b in texts) for a in texts]
+
+
+def many_texts():
+    """One key with 400 wordings, each also without its end and without its middle: [(text, whether it is whole)]."""
+    out = []
+    for k in range(400):
+        full = f"§ 1. Fall {k} betrifft die Gebühr.\n1. Für Erwachsene gelten {k} Euro im Jahr.\n2. Für Kinder gilt Fall {k} nicht."
+        lines = full.split("\n")
+        out += [(full, True), ("\n".join(lines[:2]), False), (lines[0] + "\n" + lines[2], False)]
+    return out
+
+
+def test_key_of_many_texts(spark):
+    """The texts of one key are judged together, however many there are."""
+    texts = many_texts()
+    rows = [("g", "d", "s", k, t, False, False) for k, (t, _) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "gsn string, fassung_vom string, section string, text_hash long, text string, elsewhere boolean, edge boolean")
+    got = {r.text_hash: r.damage == 0 for r in judged(df).collect()}
+    assert got == {k: whole for k, (_, whole) in enumerate(texts)}
+
+
+def test_kept_text_of_many(spark):
+    """A cut text of the better source loses against its whole text wherever that one's hash falls."""
+    texts = many_texts()
+    rows = [(k, "g", "d", "§_1", None, t, "b" if whole else "a", None) for k, (t, whole) in enumerate(texts)]
+    q = spark.createDataFrame([("a", 1), ("b", 2)], "quelle string, rang int")
+    assert [r.rec_id for r in kept_texts(fassung(spark, rows), q).collect()] == [0]
