@@ -669,6 +669,27 @@ def count_by_type(spark, d):
     return final_list(spark, d).groupBy("catalog_typ").agg(F.count("*").alias("laws"))
 
 
+# The three above have SQL, which can't express the cascade's ratio of matching characters, so they start from common
+# words. Those below are the whole of it: every step of the cascade, then the same rules.
+
+
+@query()
+def disambiguate_cascade(spark, d):
+    e, c = _registers(spark, d)
+    return cat.disambiguate(cat.match_cascade(e, c), e, c)
+
+
+@query()
+def final_list_cascade(spark, d):
+    e, c = _registers(spark, d)
+    return cat.final_list(cat.disambiguate(cat.match_cascade(e, c), e, c), e, c)
+
+
+@query()
+def count_by_type_cascade(spark, d):
+    return final_list_cascade(spark, d).groupBy("catalog_typ").agg(F.count("*").alias("laws"))
+
+
 # --- sequences and XML
 
 

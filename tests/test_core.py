@@ -1,6 +1,6 @@
 import json
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -16,6 +16,7 @@ from statuta.operators.duplicates import Wholes, judge_by_parts, judged, kept_te
 from statuta.operators.history import DeltaStore
 from statuta.operators.shred import numbered_descendants, parent_label, shred_array_levels, shred_xml, xml_nodes
 from statuta.operators.snapshot_diff import changes
+from statuta.plans import laws as laws_plans
 
 
 def one(spark, column, **values):
@@ -344,3 +345,58 @@ def test_kept_text_of_many(spark):
     rows = [(k, "g", "d", "§_1", None, t, "b" if whole else "a", None) for k, (t, whole) in enumerate(texts)]
     q = spark.createDataFrame([("a", 1), ("b", 2)], "quelle string, rang int")
     assert [r.rec_id for r in kept_texts(fassung(spark, rows), q).collect()] == [0]
+
+
+def brute_final(entries, laws):
+    """The final list by comparing every entry with every law: {gsn: (entry_id, score)}, {entry_id: gsn}."""
+    import re
+    from difflib import SequenceMatcher
+
+    def plain(s):
+        return re.sub(r"\s+", " ", re.sub(r"[.,;:()\-/]", " ", re.sub(r"\b(19|20)\d{2}\b", "", s.lower().strip()))).strip()
+
+    def year(s):
+        return max(map(int, re.findall(r"\b((?:19|20)\d{2})\b", s)), default=None)
+
+    def similar(a, b):
+        x, y = set(a.split()), set(b.split())
+        return 1.0 if a == b else 0.6 * len(x & y) / len(x | y) + 0.4 * SequenceMatcher(None, a, b).ratio()
+
+    chosen = {}
+    for i, name, abbrev in entries:
+        p, n = plain(abbrev), plain(name)
+        hits = {g: 1.0 for g, _, a, _ in laws if a and a.lower() == abbrev.lower()}
+        hits = hits or {g: 0.95 for g, _, a, _ in laws if p and plain(a) == p}
+        hits = hits or {g: 0.85 for g, _, a, _ in laws if p and plain(a) and (p in plain(a) or plain(a) in p)}
+        if not hits:
+            near = {g: similar(n, plain(x)) for g, x, _, _ in laws if plain(x).split()[:1] and plain(x).split()[0] in n.split()[:2]}
+            near = {g: v for g, v in near.items() if v >= 0.6}
+            hits = {g: v for g, v in near.items() if v >= max(near.values()) - 0.02}
+        if not hits:
+            continue
+        of = {g: (x, a) for g, x, a, _ in laws}
+        same = [g for g in hits if of[g][1].lower() == abbrev.lower()]
+        y = year(name) or year(abbrev)
+        dated = [g for g in hits if y and year(of[g][0]) == y]
+        g = same[0] if len(same) == 1 else max(dated or hits)
+        chosen[i] = (g, hits[g])
+    best = {}
+    for i, (g, v) in sorted(chosen.items()):
+        if g not in best or v > best[g][1]:
+            best[g] = (i, v)
+    return best, {i: g for i, (g, _) in chosen.items()}
+
+
+def test_final_list_cascade(spark, tmp_path):
+    """Every step of the cascade leads to the final list, also for entries whose words match no law."""
+    laws = [("10", "Zollgesetz 1988", "ZollG", "BG"), ("11", "Mühlenverordnung über Mehl", "MV 1990", "V"), ("12", "Luftgesetz über Quoten", "LuftQuG-Bund", "BG"), ("13", "Parkgesetz der alpinen Gebiete", "", "BG"), ("14", "Parkgesetz der mobilen Anlagen", "", "BG"), ("15", "Wasserrecht 1990", "WR", "BG"), ("16", "Wasserrecht 1995", "WR", "BG")]
+    entries = [(1, "Regelung anderer Art", "zollg"), (2, "Ohne gleiche Worte", "MV"), (3, "Etwas ganz anderes", "LuftQuG"), (4, "Parkgesetz der alpinen Gebiet", ""), (5, "Anderes von 1990", "WR"), (6, "Parkgesetz", ""), (7, "Zollgesetz", "x-unbekannt"), (8, "Nichts davon", "")]
+    spark.createDataFrame([(i, n, a) for i, n, a in entries], "entry_id long, index_name string, index_abbrev string").write.parquet(str(tmp_path / "final_gsn_list.parquet"))
+    spark.createDataFrame([(k, *x) for k, x in enumerate(laws)], "cat_id long, gsn string, name string, abbrev string, typ string").write.parquet(str(tmp_path / "law_catalog_merged.parquet"))
+    best, chosen = brute_final(entries, laws)
+    assert {best[g][0] for g in ("10", "11", "12", "15")} == {1, 2, 3, 5}  # by abbreviation alone
+    names = {i: n for i, n, _ in entries}
+    assert {r.entry_id: r.gsn for r in laws_plans.disambiguate_cascade(spark, str(tmp_path)).collect()} == chosen
+    got = {r.gsn: (r.index_name, round(r.score, 9)) for r in laws_plans.final_list_cascade(spark, str(tmp_path)).collect()}
+    assert got == {g: (names[i], round(v, 9)) for g, (i, v) in best.items()}
+    assert {r.catalog_typ: r.laws for r in laws_plans.count_by_type_cascade(spark, str(tmp_path)).collect()} == dict(Counter(t for g, _, _, t in laws if g in best))
