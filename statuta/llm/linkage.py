@@ -31,7 +31,7 @@ from ..functions.charforms import consistent
 from ..sources.stored import stored
 
 CONFIDENT = 0.5
-#: A block of more pairs than this is split by second agreements.
+#: A block of more pairs than this is split into blocks of about as many, all of which are compared.
 HOT = 1_000_000
 #: Attributes that make two laws different ones if they disagree.
 DIFFERENT_LAW = ("scope", "year", "amends")
@@ -218,22 +218,22 @@ def block_keys() -> Column:
 
 
 def split_hot(left: DataFrame, right: DataFrame, most: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the keys of hot blocks (more than ``most`` pairs) split up.
+    """Both sides with the keys of hot blocks (more than ``most`` pairs) split up; every pair of a block still meets, once.
 
-    A hot block's rows meet by a second agreement instead: whole name, abbreviation, gazette reference or year. Pairs
-    of it that agree in none of these can't be matches.
+    The rows of either side fall into slots by hash. A row of one side goes to all slots of the other, so that a pair
+    of slots, with about ``most`` pairs of rows, is a block of its own.
     """
     counts = [df.groupBy("key").agg(F.count("*").alias(n)) for df, n in ((left, "n"), (right, "m"))]
-    hot = stored(counts[0].join(counts[1], "key").where(F.col("n") * F.col("m") > most).select("key", F.lit(True).alias("hot")))
+    side = max(1, int(most**0.5))
+    slots = [F.ceil(F.col(n) / side).cast("int").alias(s) for n, s in (("n", "p"), ("m", "q"))]
+    hot = stored(counts[0].join(counts[1], "key").where(F.col("n") * F.col("m") > most).select("key", *slots))
 
-    def split(df: DataFrame, r: str) -> DataFrame:
-        a = {x: F.col(f"{r}.{x}") for x in ("stem", "scope", "abbrev", "ref_no", "ref_two", "year")}
-        more = [[a["stem"], F.concat_ws(" ", a["scope"])], [a["abbrev"]], [a["ref_no"], a["ref_two"]], [a["year"]]]
-        second = [F.when(F.greatest(*(c.isNull().cast("int") for c in cs), F.lit(0)) == 0, F.xxhash64("key", F.lit(k), *cs)) for k, cs in enumerate(more)]
-        keys = F.when(F.col("hot"), F.array_compact(F.array(*second))).otherwise(F.array("key"))
-        return df.join(hot, "key", "left").select(r, F.explode(keys).alias("key"))
+    def split(df: DataFrame, r: str, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64(r), F.col(own)).cast("int")
+        all_keys = F.transform(F.sequence(F.lit(0), F.col(other) - 1), lambda k: F.xxhash64("key", *((mine, k) if own == "p" else (k, mine))))
+        return df.join(hot, "key", "left").select(r, F.explode(F.when(F.col(own).isNotNull(), all_keys).otherwise(F.array("key"))).alias("key"))
 
-    return split(left, "e"), split(right, "c")
+    return split(left, "e", "p", "q"), split(right, "c", "q", "p")
 
 
 def levels(a: str = "e", b: str = "c") -> dict[str, Column]:

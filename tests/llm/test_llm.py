@@ -264,3 +264,32 @@ def test_link(spark):
     finally:
         linkage.split_hot.__defaults__ = old
     assert linkage.link(e.limit(0), c).count() == 0 and linkage.link(e, c.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, 10, 100, 10_000])
+def test_hot_block_keeps_all_pairs(spark, most):
+    left = [(i, 7 if i < 40 else i) for i in range(45)]
+    right = [(i, 7 if i < 30 else i + 12) for i in range(33)]
+    attributes = [F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in linkage.FIELDS.split(", ")]
+    e = spark.createDataFrame(left, "id long, key long").select(F.struct("id", *attributes).alias("e"), "key")
+    c = spark.createDataFrame(right, "gsn long, key long").select(F.struct("gsn", *attributes).alias("c"), "key")
+    x, y = linkage.split_hot(e, c, most)
+    pairs = sorted(rows_of(x.join(y, "key").select("e.id", "c.gsn")))
+    assert pairs == sorted((i, g) for i, a in left for g, b in right if a == b)
+
+
+def test_link_in_hot_block(spark):
+    """A misspelt name without abbreviation, gazette or year is linked however many pairs its block has."""
+    mains, scopes = ["Zollkontroll", "Wasserschutz", "Mühlenvergabe", "Theatersperr", "Luftquoten", "Parkumlagen"], ["private Betriebe", "ländliche Gebiete", "mobile Anlagen", "alpine Haushalte"]
+    cat = [(k, f"g{k}", f"{m}gesetz über {s}", None, "BG", None) for k, (m, s) in enumerate((m, s) for m in mains for s in scopes)]
+    entries = [(k, n.replace("Wasserschutz", "Wassershcutz").replace("Luftquoten", "Luftqouten"), None, "BG", None) for k, _, n, *_ in cat]
+    twice = [*cat, *((100 + k, g.replace("g", "h"), *rest) for k, g, *rest in cat)]  # so that no block has a single pair
+    c = spark.createDataFrame(twice, "cat_id long, gsn string, name string, abbrev string, typ string, kundmachungsorgan string")
+    e = spark.createDataFrame(entries, "entry_id long, index_name string, index_abbrev string, index_typ string, index_fundstelle string")
+    whole = {r.entry_id: r.gsn for r in linkage.link(e, c).collect()}
+    assert whole == {k: f"h{k}" for k in range(len(cat))}
+    old, linkage.split_hot.__defaults__ = linkage.split_hot.__defaults__, (1,)
+    try:
+        assert {r.entry_id: r.gsn for r in linkage.link(e, c).collect()} == whole
+    finally:
+        linkage.split_hot.__defaults__ = old
