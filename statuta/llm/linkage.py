@@ -5,12 +5,14 @@
    learnt: words frequent in the catalog. Frequent means a fixed share of all rows, so their number is bounded.
 2. Blocking in several passes, each tolerant of errors elsewhere: principal word and one scope word, all texts one
    deletion away from the stem with the scope, gazette reference, abbreviation. Only pairs of one block are compared.
-3. Each pair is reduced to agreement levels of its attributes; pairs that differ in scope, in the year of the name or
-   in amending another law are different laws and left out. The counts of the level patterns (a table bounded by
-   the product of the numbers of levels) feed expectation-maximisation of every level's match probabilities; the
-   non-match probabilities come from pairs formed at random.
-4. The posterior of a pair's pattern is its confidence. An entry is linked to the law of its best pair if that is at
-   least ``CONFIDENT``; equal records are compared once.
+3. Each pair is reduced to agreement levels of its attributes; no pair is ruled out. The counts of the level patterns (a
+   table bounded by the product of the numbers of levels) feed expectation-maximisation, which estimates the match and
+   the non-match probabilities of every level: that another kind, scope or year makes another law, and how much a
+   wrong gazette or a missing abbreviation speaks against a match, is learnt from the pairs. Pairs formed at random
+   give the non-match probabilities to begin with.
+4. An entry's laws compete: the confidence of a law is its odds over those of all laws compared with the entry and of
+   none. An entry is linked to its most confident law if that reaches ``CONFIDENT``, so two laws that fit equally
+   well leave it unmatched. Equal records are compared once.
 
 Null, empty and blank attributes are missing: they count neither for nor against a match. Records without a name can
 still be linked by abbreviation and gazette.
@@ -20,7 +22,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,8 @@ from ..sources.stored import stored
 CONFIDENT = 0.5
 #: A block of more pairs than this is split into blocks of about as many, all of which are compared.
 HOT = 1_000_000
-#: Attributes that make two laws different ones if they disagree.
-DIFFERENT_LAW = ("scope", "year", "amends")
+#: Attributes that tell one law from another, and the highest level of each that disagrees.
+OTHER_LAW = {"name": 1, "kind": 0, "year": 1, "amends": 0}
 #: A word that stands in at least this share of the catalog's names (and in three names) is a frequent word.
 FREQUENT = 0.01
 # Kinds of laws and how registers shorten them at the end of a word.
@@ -57,6 +60,10 @@ _NOTE = re.compile(r"\((?:dort|Bezeichnung|griechisch|im Original|[^()]*[„“]
 _WORD = re.compile(r"[a-z]+(?:-[a-z]+)*\.?")
 
 
+#: Words a worker remembers the reading of.
+REMEMBERED = 200_000
+
+
 def edits(a: str, b: str, most: int) -> int:
     """Edits (swaps of neighbours count one) between two words, or most + 1 if there are more."""
     if abs(len(a) - len(b)) > most:
@@ -90,16 +97,18 @@ def words_of(name: str | None) -> list[str]:
     for w in _WORD.findall(folded(name)):
         w = w.replace("-", "")
         bare = w.rstrip(".")
-        if bare and bare not in FILLERS and bare not in MONTHS:
+        if bare and bare not in FILLERS and bare not in MONTHS and bare not in KINDS:
             out.append(w if w.endswith(".") else bare)
     return out
 
 
+@lru_cache(REMEMBERED)
 def names_a_kind(word: str) -> bool:
     """Whether a word ends with the kind of a law in full, so that it is a principal word however frequent it is."""
     return any(len(word) > len(k) + 2 and edits(word[-len(k) :], k, 1) <= 1 for k in KINDS)
 
 
+@lru_cache(REMEMBERED)
 def split_kind(word: str) -> tuple[str, str]:
     """(stem, kind) of a principal word, its kind possibly shortened or misspelt; kind "" if it shows none."""
     bare = word.rstrip(".")
@@ -135,13 +144,13 @@ def as_frequent(word: str, frequent: dict[str, list[str]]) -> str | None:
     return cut[0][1] if cut else None
 
 
-def attributes(name: str | None, abbrev: str | None, typ: str | None, gazette: str | None, frequent: dict[str, list[str]]) -> dict:
-    """The attributes of one record; missing ones are None."""
+def attributes(name: str | None, abbrev: str | None, typ: str | None, gazette: str | None, frequent: Callable[[str], str | None]) -> dict:
+    """The attributes of one record; missing ones are None. ``frequent`` gives the frequent word that a word is."""
     text = folded(name)
     scope, rest = [], []
     for w in words_of(name):
         stem, kind = split_kind(w)
-        known = as_frequent(w, frequent)
+        known = frequent(w)
         if known and not (kind and known != w.rstrip(".") and len(stem) >= 5 and not known.startswith(w.rstrip("."))):
             scope.append(known)
         else:
@@ -164,7 +173,7 @@ def attributes(name: str | None, abbrev: str | None, typ: str | None, gazette: s
         "ref_year": ref_year,
         "ref_two": int(ref[2]) % 100 if ref else None,
         "typ": (consistent(typ or "") or "").strip().upper() or None,
-        "amends": bool(_AMENDS.search(name or "")),
+        "amends": bool(_AMENDS.search(consistent(name) or "")),
     }
 
 
@@ -194,8 +203,9 @@ def with_attributes(records: DataFrame, rec_id: str, columns: list[str], frequen
     schema = pa.schema([("rec_id", pa.int64()), *zip(_NAMES, _TYPES, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = lru_cache(REMEMBERED)(lambda w: as_frequent(w, near))
         for batch in batches:
-            rows = [attributes(*r, near) for r in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)]
+            rows = [attributes(*r, read) for r in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)]
             yield pa.RecordBatch.from_arrays([batch[0], *(pa.array([r[n] for r in rows], t) for n, t in zip(_NAMES, _TYPES, strict=True))], schema=schema)
 
     return records.select(F.col(rec_id).cast("long").alias("rec_id"), *columns).mapInArrow(run, "rec_id long, " + FIELDS)
@@ -257,14 +267,14 @@ def levels(a: str = "e", b: str = "c") -> dict[str, Column]:
     two = F.col(f"{a}.ref_two") == F.col(f"{b}.ref_two")
     full = F.coalesce(ry == rz, two)
     stem = F.when(s == t, 3).when((d <= 2) & (longest >= 6), 2).when((d <= 3) & (longest >= 10), 1).otherwise(0)
-    scope = F.when(p.isNull() | q.isNull(), -1).when((shared == sizes[0]) & (shared == sizes[1]), 2).when((shared == sizes[0]) | (shared == sizes[1]), 1).otherwise(0)
+    # 3 equal, 2 one side lacks words of the other, 1 not known, 0 another scope
+    scope = F.when(p.isNull() | q.isNull(), 1).when((shared == sizes[0]) & (shared == sizes[1]), 3).when((shared == sizes[0]) | (shared == sizes[1]), 2).otherwise(0)
     return {
         # stem and scope are one attribute, as the blocking makes each depend on the other
-        "name": F.when(s.isNull() | t.isNull(), -1).when((stem == 3) & (scope == 2), 4).when((stem == 2) & (scope == 2), 3).when((stem == 3) & (scope != 0), 2).when((stem >= 1) & (scope != 0), 1).otherwise(0),
+        "name": F.when(s.isNull() | t.isNull(), -1).when((stem == 3) & (scope == 3), 6).when((stem == 2) & (scope == 3), 5).when((stem == 3) & (scope >= 1), 4).when((stem == 1) & (scope == 3), 3).when((stem >= 1) & (scope >= 1), 2).when(stem >= 1, 1).otherwise(0),
         "kind": equal("kind"),
-        "scope": scope,
-        # a year named on one side only may agree with the other side's gazette
-        "year": F.when(y.isNotNull() & z.isNotNull(), F.when(y == z, 3).otherwise(0)).when(F.coalesce(y == rz, F.lit(False)), 2).when(F.coalesce(z == ry, F.lit(False)), 2).when(y.isNull() & z.isNull(), -1).when(y.isNotNull(), 1).otherwise(-1),
+        # a year named on one side only may agree with the other side's gazette; one that the catalog alone names may be left out
+        "year": F.when(y.isNotNull() & z.isNotNull(), F.when(y == z, 3).otherwise(0)).when(F.coalesce(y == rz, F.lit(False)), 2).when(F.coalesce(z == ry, F.lit(False)), 2).when(y.isNotNull(), 1).otherwise(-1),
         "abbrev": F.when(both("abbrev")[0].isNull() | both("abbrev")[1].isNull(), -1).when(both("abbrev")[0] == both("abbrev")[1], 2).when(F.levenshtein(*both("abbrev")) <= 1, 1).otherwise(0),
         "ref": F.when(no.isNull() | mo.isNull(), -1).when((no == mo) & full, 2).when((no == mo) | full, 1).otherwise(0),
         "typ": equal("typ"),
@@ -272,37 +282,52 @@ def levels(a: str = "e", b: str = "c") -> dict[str, Column]:
     }
 
 
-def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, random_patterns: np.ndarray, random_counts: np.ndarray, rounds: int = 200, prior: float = 0.2) -> np.ndarray:
-    """The posterior of each pattern (rows of levels, -1 missing) seen ``counts`` times among the blocked pairs.
+def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, random_patterns: np.ndarray, random_counts: np.ndarray, misses: Sequence[tuple[int, int]], rounds: int = 500) -> np.ndarray:
+    """The log odds of a match of each pattern (rows of levels, -1 missing) seen ``counts`` times among the blocked pairs.
 
-    The non-match probabilities start from pairs formed at random, which blocking hasn't touched, and keep them as
-    their base while the rounds go on. Match probabilities start from the assumption that higher levels are likelier.
-    Missing levels are left out of the products, so they speak neither way.
+    Blocking brings together what is alike, so pairs that don't match are of several kinds: near misses, which disagree
+    in an attribute that tells one thing from another (``misses``: its column and the highest level that disagrees) and
+    may be like a match otherwise, and pairs that start like those formed at random, which disagree in the first of
+    these attributes. The non-match probability of a pattern is a mixture of these. All probabilities and the shares of the kinds are estimated from the blocked pairs; they start
+    from the assumption that higher levels are likelier in matches. Missing levels are left out of the products, so
+    they speak neither way, but a near miss needs a level to disagree in.
     """
     n, k = patterns.shape
     tops = [max(int(patterns[:, j].max(initial=0)), int(random_patterns[:, j].max(initial=0))) for j in range(k)]
 
-    def shares(rows: np.ndarray, weights: np.ndarray, j: int) -> np.ndarray:
+    def shares(rows: np.ndarray, weights: np.ndarray, j: int, most: int | None = None) -> np.ndarray:
         seen = rows[:, j] >= 0
         total = np.bincount(rows[seen, j], weights[seen], tops[j] + 1) + 0.5
+        if most is not None:
+            total[most + 1 :] = 1e-12
         return total / total.sum()
 
-    u = [shares(random_patterns, random_counts, j) for j in range(k)]
-    m = [np.array([0.5 ** (t - x) for x in range(t + 1)]) for t in tops]
-    m = [x / x.sum() for x in m]
-    post = np.full(n, prior)
+    telling = {j for j, _ in misses}
+    alike = [np.array([(0.001 if j in telling and x == 0 else 0.1) ** (t - x) for x in range(t + 1)]) for j, t in enumerate(tops)]
+    alike = [x / x.sum() for x in alike]
+    limits: list[dict[int, int]] = [{}, *({j: most} for j, most in misses), dict(misses[:1])]
+    classes = [[shares(np.arange(tops[j] + 1)[:, None].repeat(k, 1), np.ones(tops[j] + 1), j, limit[j]) if j in limit else alike[j] for j in range(k)] for limit in limits[:-1]]
+    classes.append([shares(random_patterns, random_counts, j) for j in range(k)])
+    prior = np.full(len(classes), 1 / len(classes))
+    last = np.zeros(n)
     for _ in range(rounds):
-        log = np.full(n, np.log(prior) - np.log1p(-prior))
-        for j in range(k):
-            seen = patterns[:, j] >= 0
-            log[seen] += np.log(m[j][patterns[seen, j]]) - np.log(u[j][patterns[seen, j]])
-        new = 1 / (1 + np.exp(-np.clip(log, -700, 700)))
-        m = [shares(patterns, new * counts, j) for j in range(k)]
-        prior = float(np.clip((new * counts).sum() / counts.sum(), 1e-6, 1 - 1e-6))
-        if np.abs(new - post).max() < 1e-9:
-            return new
-        post = new
-    return post
+        log = np.tile(np.log(prior), (n, 1))
+        for c, by_level in enumerate(classes):
+            for j in range(k):
+                seen = patterns[:, j] >= 0
+                log[seen, c] += np.log(by_level[j][patterns[seen, j]])
+                if j in limits[c]:
+                    log[~seen, c] += np.log(1e-12)
+        held = np.exp(log - log.max(axis=1, keepdims=True))
+        held /= held.sum(axis=1, keepdims=True)
+        weights = held * counts[:, None]
+        classes = [[shares(patterns, weights[:, c], j, limits[c].get(j)) for j in range(k)] for c in range(len(classes))]
+        prior = (weights.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * len(classes))
+        if np.abs(held[:, 0] - last).max() < 1e-9:
+            break
+        last = held[:, 0]
+    rest = log[:, 1:].max(axis=1)
+    return np.clip(log[:, 0] - rest - np.log(np.exp(log[:, 1:] - rest[:, None]).sum(axis=1)), -700, 700)
 
 
 def link(entries: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -322,24 +347,25 @@ def link(entries: DataFrame, catalog: DataFrame) -> DataFrame:
     right = c.select(F.struct("gsn", *fields).alias("c"), F.explode("keys").alias("key"))
     left, right = split_hot(left, right)
     pairs = left.join(right, "key").select(F.col("e.id").alias("id"), F.col("c.gsn").alias("gsn"), *(x.alias(k) for k, x in levels().items()))
-    for x in DIFFERENT_LAW:
-        pairs = pairs.where(F.col(x) != 0)
-    names = [x for x in levels() if x not in ("scope", "amends")]
+    names = list(levels())
     pairs = stored(pairs.select("id", "gsn", *names).distinct())
     table = pairs.groupBy(*names).agg(F.count("*").alias("n")).collect()  # bounded by the levels' product
     # as many pairs at random as a few for each record: rows meet whose hashes fall into the same of many slots
     slots = F.lit(max(1, max(e.count(), c.count()) // 4))
     meet = sets.select(F.struct("id", *fields).alias("e"), F.pmod("id", slots).alias("slot")).join(c.select(F.struct("gsn", *fields).alias("c"), F.pmod(F.xxhash64("gsn", *fields), slots).alias("slot")), "slot")
-    chance = meet.select(*(x.alias(k) for k, x in levels().items() if k in names)).groupBy(*names).agg(F.count("*").alias("n")).collect()  # bounded likewise
+    chance = meet.select(*(x.alias(k) for k, x in levels().items())).groupBy(*names).agg(F.count("*").alias("n")).collect()  # bounded likewise
     spark = entries.sparkSession
-    schema = ", ".join(f"{x} int" for x in names) + ", confidence double"
+    schema = ", ".join(f"{x} int" for x in names) + ", log_odds double"
     if table:
         patterns = np.array([[r[x] for x in names] for r in table])
         by_chance = np.array([[r[x] for x in names] for r in chance]).reshape(-1, len(names))
-        posterior = expectation_maximisation(patterns, np.array([r.n for r in table], float), by_chance, np.array([r.n for r in chance], float))
-        scores = spark.createDataFrame([(*(r[x] for x in names), float(p)) for r, p in zip(table, posterior, strict=True)], schema)
+        log_odds = expectation_maximisation(patterns, np.array([r.n for r in table], float), by_chance, np.array([r.n for r in chance], float), [(names.index(x), most) for x, most in OTHER_LAW.items()])
+        scores = spark.createDataFrame([(*(r[x] for x in names), float(p)) for r, p in zip(table, log_odds, strict=True)], schema)
     else:
         scores = spark.createDataFrame([], schema)
-    total = sum((F.greatest(F.col(x), F.lit(0)) for x in names), F.lit(0))
-    best = pairs.join(F.broadcast(scores), names).groupBy("id").agg(F.max_by(F.struct("gsn", "confidence"), F.struct("confidence", total, "gsn")).alias("b"))
-    return e.select(F.col("rec_id").alias("entry_id"), F.xxhash64(*fields).alias("id")).join(best.where(F.col("b.confidence") >= CONFIDENT), "id").select("entry_id", "b.gsn", "b.confidence")
+    # a law counts once, by its best record; all laws of an entry, and none, share its certainty
+    laws = pairs.join(F.broadcast(scores), names).groupBy("id", "gsn").agg(F.max("log_odds").alias("log_odds"))
+    best = laws.groupBy("id").agg(F.max_by(F.struct("gsn", "log_odds"), F.struct("log_odds", "gsn")).alias("b"), F.sum(F.exp(F.least("log_odds", F.lit(300.0)))).alias("odds"))
+    confidence = F.exp(F.least(F.col("b.log_odds"), F.lit(300.0))) / (1 + F.col("odds"))
+    best = best.select("id", "b.gsn", confidence.alias("confidence")).where(F.col("confidence") >= CONFIDENT)
+    return e.select(F.col("rec_id").alias("entry_id"), F.xxhash64(*fields).alias("id")).join(best, "id").select("entry_id", "gsn", "confidence")

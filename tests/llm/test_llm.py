@@ -241,10 +241,31 @@ def test_edits():
 
 
 def test_em():
-    patterns = np.array([[1, 1, 1], [1, 1, -1], [0, 0, 0], [0, 1, 0], [1, 0, 1]])
+    """Near misses in the second attribute are told from matches, whatever else agrees."""
+    patterns = np.array([[1, 1, 1], [1, 1, -1], [0, 0, 0], [0, 1, 0], [1, 0, 0], [1, 0, -1]])
     chance = np.array([[0, 0, 0], [1, 0, 0], [0, 1, 0]])
-    p = linkage.expectation_maximisation(patterns, np.array([50.0, 10, 40, 5, 8]), chance, np.array([900.0, 50, 50]))
-    assert p[0] > 0.99 and p[1] > 0.9 and p[2] < 0.01
+    odds = linkage.expectation_maximisation(patterns, np.array([50.0, 10, 40, 5, 8, 4]), chance, np.array([900.0, 50, 50]), [(0, 0), (1, 0)])
+    assert odds[0] > 5 and odds[1] > 2 and odds[2:].max() < 0
+
+
+def test_confidence_is_calibrated():
+    """Drawn pairs with known truth: in each band of confidence about as many are matches as it says."""
+    rng = np.random.default_rng(5)
+    n = 200_000
+    kind = rng.choice(4, n, p=[0.2, 0.2, 0.1, 0.5])  # match, another kind, another year, by chance
+    chances = {0: (0.97, 1.0, 1.0, 0.85, 0.8), 1: (0.97, 0.0, 1.0, 0.1, 0.1), 2: (0.97, 1.0, 0.0, 0.6, 0.1), 3: (0.0, 0.5, 0.3, 0.05, 0.02)}
+    agree = rng.random((n, 5)) < np.array([chances[k] for k in range(4)])[kind]
+    levels = np.where(rng.random((n, 5)) < [0.0, 0.02, 0.4, 0.3, 0.4], -1, agree.astype(int))
+    levels[kind == 2, 2] = 0  # a near miss shows what it misses
+    patterns, at, counts = np.unique(levels, axis=0, return_inverse=True, return_counts=True)
+    by_chance = np.unique(levels[kind == 3], axis=0, return_counts=True)
+    odds = linkage.expectation_maximisation(patterns, counts.astype(float), by_chance[0], by_chance[1].astype(float), [(0, 0), (1, 0), (2, 0)])
+    p = (1 / (1 + np.exp(-odds)))[at.ravel()]
+    for low, high, error in ((0, 0.05, 0.01), (0.05, 0.5, 0.2), (0.5, 0.95, 0.2), (0.95, 1.01, 0.06)):
+        band = (p >= low) & (p < high)
+        assert band.sum() < 500 or abs((kind[band] == 0).mean() - p[band].mean()) < error
+    linked = p >= linkage.CONFIDENT
+    assert (kind[linked] == 0).mean() > 0.95 and linked[kind == 0].mean() > 0.9
 
 
 def test_link(spark):
@@ -283,11 +304,11 @@ def test_link_in_hot_block(spark):
     mains, scopes = ["Zollkontroll", "Wasserschutz", "Mühlenvergabe", "Theatersperr", "Luftquoten", "Parkumlagen"], ["private Betriebe", "ländliche Gebiete", "mobile Anlagen", "alpine Haushalte"]
     cat = [(k, f"g{k}", f"{m}gesetz über {s}", None, "BG", None) for k, (m, s) in enumerate((m, s) for m in mains for s in scopes)]
     entries = [(k, n.replace("Wasserschutz", "Wassershcutz").replace("Luftquoten", "Luftqouten"), None, "BG", None) for k, _, n, *_ in cat]
-    twice = [*cat, *((100 + k, g.replace("g", "h"), *rest) for k, g, *rest in cat)]  # so that no block has a single pair
+    twice = [*cat, *((100 + k, *rest) for k, *rest in cat)]  # so that no block has a single pair
     c = spark.createDataFrame(twice, "cat_id long, gsn string, name string, abbrev string, typ string, kundmachungsorgan string")
     e = spark.createDataFrame(entries, "entry_id long, index_name string, index_abbrev string, index_typ string, index_fundstelle string")
     whole = {r.entry_id: r.gsn for r in linkage.link(e, c).collect()}
-    assert whole == {k: f"h{k}" for k in range(len(cat))}
+    assert whole == {k: f"g{k}" for k in range(len(cat))}
     old, linkage.split_hot.__defaults__ = linkage.split_hot.__defaults__, (1,)
     try:
         assert {r.entry_id: r.gsn for r in linkage.link(e, c).collect()} == whole
