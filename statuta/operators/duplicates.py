@@ -1,54 +1,65 @@
 """Rows delivered more than once: telling damaged texts from undamaged ones, one kept text per key.
 
 A key is (gsn, fassung_vom, regular section id). Only keys whose rows hold different texts (in consistent form) need a
-look at the texts; all others are settled by hashes. The evidence for a text:
-
-* it shows no sign of damage of its own (blank, broken characters, cut off, repeated),
-* its first and last lines are not boilerplate, i.e. lines that stand at the edge of texts of many other sections,
-* it is not another text of the key with a part missing, unless the same text was delivered for another date as well.
-
-All texts of a key are judged together, however many there are. They are streamed to one worker in the order of their
-hashes, which holds the different texts of one key at a time.
-
-Rows without rec_id, gsn, date or section id belong to no key and are left out.
+look at the texts; all others are settled by hashes. The different texts of a key are judged by token-level consensus:
+
+1. Each text has a weight by its state: texts with signs of damage of their own (blank, broken characters, cut off,
+   repeated) or boilerplate at an edge hardly count, texts that were delivered for another date as well count more.
+   A line is boilerplate if it stands at the edge of texts of several sections, and mostly where the key's other texts
+   lack it.
+2. The texts are aligned progressively along a star: the heaviest, then longest text of the key makes the columns, all
+   others are aligned to it one by one. A text is thus described by where it departs from the columns: other tokens,
+   gaps, insertions (which open columns of their own).
+3. Every text votes with its weight for its tokens. A token is accepted in a column if undamaged texts vote for it; a gap
+   only if a text known from another date, or most of the weight, has it (otherwise what others have is missing there).
+4. The damage of a text is the number of columns where it has what is not accepted. In a stretch where a text departs
+   with accepted tokens of its own, it is another wording rather than a text that lacks something: gaps there are free.
+
+No step holds a key's texts together: votes are sums by column and token, texts meet the column text in slices of at
+most ``SLICE`` rows, and each text is scored by itself. Rows without rec_id, gsn, date or section id belong to no key
+and are left out.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator, Sequence
-from itertools import groupby
-from operator import itemgetter
-from os.path import commonprefix
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
-import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from ..functions.alignment import align, tokens_of
 from ..functions.charforms import consistent_form
 from ..functions.integrity import broken_characters, cut_off, repeats
 from ..functions.section_ids import regular_id
 from ..sources.stored import stored
 
 KEY = ["gsn", "fassung_vom", "section"]
-#: Up to so many texts are searched for a missing part pair by pair, more of them by sorted order, with equal results.
-PAIRWISE = 32
-#: Rows of damage figures handed back to Spark at a time.
-ROWS = 10_000
-#: From this many sections on a line at the edge of a text counts as boilerplate.
-BOILERPLATE = 3
-#: So many words show that a part is missing in the middle of a text.
-WORDS = 3
-#: What a judge gets of each text: the text, whether it was delivered for another date, whether an edge is boilerplate.
-Text = tuple[str | None, bool, bool]
-Judge = Callable[[Sequence[Text]], list[float]]
+#: Rows of a key that meet the key's column text in one place.
+SLICE = 4096
+DAMAGED, INTACT, KNOWN = 0.001, 1.0, 3.0
+#: Equal tokens in a row that show that two stretches of text belong together.
+ANCHOR = 4
+#: A boilerplate line stands at the edge of texts of so many sections, and in more than this share of its keys alone.
+SECTIONS, SURPLUS = 2, 0.5
+_WHITE = " \t\n\r\f\x0b"
+#: Kinds of departures: another token, a gap, an inserted token (before the column).
+OTHER, GAP, INSERTED = 0, 1, 2
+_DEPARTURES = "array<struct<col:int,kind:int,slot:long>>"
 
 
 def keyed(fassung: DataFrame, *more: str | Column) -> DataFrame:
-    """rec_id, the key, text_hash (of the consistent body) and the columns named; no row without a full key."""
-    rows = fassung.select("rec_id", "gsn", "fassung_vom", regular_id(F.col("section_id")).alias("section"), text_hash(consistent_form(F.col("body"))).alias("text_hash"), *more)
-    return rows.where(F.col("rec_id").isNotNull() & F.col("gsn").isNotNull() & F.col("fassung_vom").isNotNull() & F.col("section").isNotNull())
+    """rec_id, the key, text_hash (of the consistent body), first_line, last_line (hashes) and the columns named; no row without a full key."""
+    text = consistent_form(F.col("body"))
+    rows = fassung.select("rec_id", "gsn", "fassung_vom", regular_id(F.col("section_id")).alias("section"), text.alias("_text"), *more)
+    rows = rows.where(F.col("rec_id").isNotNull() & F.col("gsn").isNotNull() & F.col("fassung_vom").isNotNull() & F.col("section").isNotNull())
+    inner = F.btrim("_text", F.lit(_WHITE))
+    line = lambda at: F.when(inner != "", F.xxhash64(F.btrim(F.substring_index(inner, "\n", at), F.lit(_WHITE))))
+    return rows.withColumns({"text_hash": text_hash(F.col("_text")), "first_line": line(1), "last_line": line(-1)}).drop("_text")
 
 
 def text_hash(text: Column) -> Column:
@@ -63,116 +74,161 @@ def intrinsic_damage(text: str | None) -> float:
     return 4.0 * broken_characters(text) + 3.0 * repeats(text) + 2.0 * cut_off(text)
 
 
-def lacks_part_of(a: str, b: str) -> bool:
-    """Whether ``a`` is ``b`` without its end, or with one connected part of some words left out."""
-    if len(a) >= len(b):
-        return False
-    head = 0
-    while head < len(a) and a[head] == b[head]:
-        head += 1
-    tail = 0
-    while tail < len(a) - head and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
-    if head + tail < len(a):
-        return False
-    # a number or a word that is longer in ``b`` is another wording, nothing that is missing
-    return tail == 0 or len(b[head : len(b) - tail].split()) >= WORDS
-
-
-class Wholes:
-    """Texts by their beginnings and by their ends, to find one of which another text is a part as in ``lacks_part_of``."""
-
-    def __init__(self, texts: Sequence[str]) -> None:
-        self.texts = sorted(set(texts))
-        by_end = sorted((t[::-1], k) for k, t in enumerate(self.texts))
-        self.ends = [t for t, _ in by_end]
-        self.place = np.empty(len(self.texts), np.int64)  # of each text in the order of the ends
-        self.place[[k for _, k in by_end]] = np.arange(len(by_end))
-
-    def _starting(self, texts: list[str], start: str, lo: int = 0, hi: int | None = None) -> tuple[int, int]:
-        lo = bisect_left(texts, start, lo, hi)
-        return lo, bisect_right(texts, start, lo, hi, key=lambda t: t[: len(start)])
-
-    def lacking(self, a: str) -> bool:
-        """Whether ``a`` lacks a part of one of the texts."""
-        lo, hi = self._starting(self.texts, a)
-        if hi - lo > (lo < hi and self.texts[lo] == a):
-            return True  # the beginning of a longer one
-        back = a[::-1]
-        # from long to short beginnings of a: the texts that share just this much with it stand on both sides of those that share more
-        while lo > 0 or hi < len(self.texts):
-            near = [self.texts[k] for k in (lo - 1, hi) if 0 <= k < len(self.texts)]
-            head = max(len(commonprefix([a, b])) for b in near)
-            left, right = self._starting(self.texts, a[:head]) if head else (0, len(self.texts))
-            p, q = self._starting(self.ends, back[: len(a) - head])
-            if p < q:
-                for part, first in ((self.place[left:lo], left), (self.place[hi:right], hi)):
-                    for k in np.flatnonzero((part >= p) & (part < q)):
-                        if lacks_part_of(a, self.texts[first + k]):
-                            return True
-            lo, hi = left, right
-        return False
-
-
-def judge_by_parts(texts: Sequence[Text]) -> list[float]:
-    """A damage figure for each text, 0 for undamaged ones: signs of its own, boilerplate, a part missing."""
-    damage = [intrinsic_damage(t) + 5.0 * edge for t, _, edge in texts]
-    # the longer text may itself be cut off further on: what it has beyond the shorter one still is missing there
-    whole = [t for (t, _, edge), d in zip(texts, damage, strict=True) if t and d <= 2.0]
-    wholes = Wholes(whole) if len(whole) > PAIRWISE else None
-    for k, (t, elsewhere, _) in enumerate(texts):
-        if t and not elsewhere and damage[k] == 0 and (wholes.lacking(t) if wholes else any(lacks_part_of(t, w) for w in whole)):
-            damage[k] += 1.0
-    return damage
+@F.pandas_udf(DoubleType())
+def _intrinsic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for part in texts:
+        yield part.map(intrinsic_damage)
+
+
+def departures(columns: Sequence[str], tokens: Sequence[str]) -> list[tuple[int, int, str, int]]:
+    """(column, kind, token, occurrence) wherever ``tokens`` depart from ``columns``, in order.
+
+    In a replaced stretch tokens and columns face each other in order; what is left over is a gap or inserted.
+    Insertions before one column are told apart by token and occurrence.
+    """
+    out: list[tuple[int, int, str, int]] = []
+    i = j = 0
+    for p, q in [*align(columns, tokens), (len(columns), len(tokens))]:
+        faced = min(p - i, q - j)
+        out += [(i + k, OTHER, tokens[j + k], 0) for k in range(faced)]
+        out += [(c, GAP, "", 0) for c in range(i + faced, p)]
+        if j + faced < q:
+            seen: Counter = Counter()
+            for t in tokens[j + faced : q]:
+                out.append((p, INSERTED, t, seen[t]))
+                seen[t] += 1
+        i, j = p + 1, q + 1
+    # a word cut through at the end or the beginning of a text is missing, it is not another word
+    for first, is_part, rest in ((1, str.startswith, range(len(columns) - 1, -1, -1)), (0, str.endswith, range(len(columns)))):
+        at = next((k for k in range(len(out) - 1, -1, -1) if out[k][1] != GAP), None) if first else next((k for k in range(len(out)) if out[k][1] != GAP), None)
+        if at is None or out[at][1] != OTHER or out[at][2] != (tokens[-1] if first else tokens[0]):
+            continue
+        gaps = len(out) - 1 - at if first else at
+        if out[at][0] == rest[gaps] and is_part(columns[out[at][0]], out[at][2]):
+            out[at] = (out[at][0], GAP, "", 0)
+    return out
+
+
+def cost(found: Sequence[tuple[int, int, bool]], n_columns: int) -> float:
+    """The damage of a text from its departures (column, kind, accepted) in order, over ``n_columns`` columns."""
+    # stretches: [equal columns before, gaps, wording of its own]
+    stretches: list[list] = []
+    total, end, inside = 0, 0, False
+    for col, kind, good in found:
+        if not inside or col > end:
+            stretches.append([col - end, 0, False])
+            inside = True
+        if kind == GAP:
+            stretches[-1][1] += not good
+        else:
+            stretches[-1][2] |= good
+            total += not good
+        end = col if kind == INSERTED else col + 1
+    after = [*(x[0] for x in stretches[1:]), ANCHOR if end >= n_columns else n_columns - end]
+    for k, ((before, gaps, own), behind) in enumerate(zip(stretches, after, strict=False)):
+        # something is missing only between parts that are equal for a while, or at the end of such a part
+        firm = (k == 0 or before >= ANCHOR) and (k == len(stretches) - 1 or behind >= ANCHOR)
+        total += gaps if firm and not own else 0
+    return float(total)
+
+
+def accepted(kind: int, weight: float) -> bool:
+    """Whether a departure is accepted that one text votes for against a column text of no less weight."""
+    return weight >= (KNOWN if kind == GAP else INTACT)
 
 
 def conflicting(fassung: DataFrame, rows: DataFrame) -> DataFrame:
-    """The texts of all keys with different texts: key, text_hash, text, elsewhere, edge; each text once a key.
+    """The texts of all keys with different texts: key, rec_id, text_hash, text, weight, slots; each text once a key.
 
     ``rows`` comes from ``keyed`` over ``fassung`` (stored, as it is read several times). Hashes decide which keys
-    these are; only one row of each of their texts is looked up in ``fassung``.
+    these are; only one row of each of their texts is looked up in ``fassung``. ``slots`` is the number of slices.
     """
-    hashes = rows.select("rec_id", *KEY, "text_hash")
-    keys = hashes.groupBy(*KEY).agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi")).where("lo != hi").select(*KEY)
-    wanted = hashes.join(keys, KEY, "left_semi").groupBy(*KEY, "text_hash").agg(F.min("rec_id").alias("rec_id"))
-    bodies = fassung.select("rec_id", "body").join(wanted, "rec_id")
-    texts = stored(bodies.select(*KEY, "text_hash", consistent_form(F.col("body")).alias("text")).dropDuplicates([*KEY, "text_hash"]))
-    dates = hashes.groupBy("gsn", "section", "text_hash").agg((F.min("fassung_vom") != F.max("fassung_vom")).alias("elsewhere"))
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.btrim(x)), lambda x: x != "")
-    edges = texts.select(*KEY, "text_hash", lines.alias("lines")).select(*KEY, "text_hash", F.explode(F.array_distinct(F.array(F.xxhash64(F.get("lines", F.lit(0))), F.xxhash64(F.try_element_at("lines", F.lit(-1)))))).alias("line"))
-    common = edges.groupBy("line").agg(F.countDistinct("gsn", "section").alias("n")).where(F.col("n") >= BOILERPLATE).select("line")
-    edge = edges.join(common, "line", "left_semi").select(*KEY, "text_hash").distinct().withColumn("edge", F.lit(True))
-    return (
-        texts.join(dates, ["gsn", "section", "text_hash"], "left")
-        .join(edge, [*KEY, "text_hash"], "left")
-        .withColumns({"elsewhere": F.coalesce("elsewhere", F.lit(False)), "edge": F.coalesce("edge", F.lit(False))})
-    )
-
-
-def judged(conflicts: DataFrame, judge: Judge = judge_by_parts) -> DataFrame:
-    """key, text_hash, damage of every text of ``conflicting``."""
-    columns = [*KEY, "text_hash", "text", "elsewhere", "edge"]
-    rows = conflicts.select(*columns).repartition(*KEY).sortWithinPartitions(*KEY, "text_hash")
-    schema = pa.schema([*((c, pa.string()) for c in KEY), ("text_hash", pa.int64()), ("damage", pa.float64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(out: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
-
-        out: list[tuple] = []
-        one_by_one = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        for key, group in groupby(one_by_one, key=itemgetter(0, 1, 2)):
-            hashes, texts = [], []
-            for row in group:
-                hashes.append(row[3])
-                texts.append(row[4:])
-            out += [(*key, h, d) for h, d in zip(hashes, judge(texts), strict=True)]
-            if len(out) >= ROWS:
-                yield batch_of(out)
-                out = []
-        yield batch_of(out)
-
-    return rows.mapInArrow(run, "gsn string, fassung_vom string, section string, text_hash long, damage double")
+    keys = rows.groupBy(*KEY).agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"), (1 + F.floor(F.count("*") / SLICE)).cast("int").alias("slots")).where("lo != hi").select(*KEY, "slots")
+    wanted = stored(rows.select("rec_id", *KEY, "text_hash", "first_line", "last_line").join(keys, KEY).groupBy(*KEY, "slots", "text_hash", "first_line", "last_line").agg(F.min("rec_id").alias("rec_id")))
+    dates = rows.groupBy("gsn", "section", "text_hash").agg((F.min("fassung_vom") != F.max("fassung_vom")).alias("elsewhere"))
+    state = wanted.join(dates, ["gsn", "section", "text_hash"], "left").join(_with_boilerplate(rows, wanted), ["rec_id"], "left").select("rec_id", *KEY, "slots", "text_hash", F.coalesce("elsewhere", F.lit(False)).alias("elsewhere"), F.coalesce("edge", F.lit(False)).alias("edge"))
+    texts = fassung.select("rec_id", "body").join(state, "rec_id").withColumn("text", consistent_form(F.col("body")))
+    weight = F.when((_intrinsic("text") > 0) | F.col("edge"), DAMAGED).when(F.col("elsewhere"), KNOWN).otherwise(INTACT)
+    return texts.select(*KEY, "rec_id", "text_hash", "slots", weight.alias("weight"), "text").dropDuplicates([*KEY, "text_hash"])
+
+
+def _with_boilerplate(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rec_id, edge (true) of the texts in ``wanted`` with a boilerplate line at an edge."""
+    lines = F.explode(F.array_distinct(F.array("first_line", "last_line"))).alias("line")
+    # a line of a key is surplus if the key has other texts and just one of them has the line at an edge
+    alone = stored(wanted.select(*KEY, "text_hash", lines).where("line is not null").groupBy(*KEY, "line").agg(F.count("*").alias("n")).where("n = 1").groupBy("line").agg(F.count("*").alias("surplus")))
+    # lines that are surplus somewhere are few; only these are counted over all rows
+    seen = rows.select(*KEY, lines).join(alone.select("line"), "line", "left_semi").groupBy("line", *KEY).agg(F.lit(1).alias("one"))
+    counts = seen.groupBy("line", "gsn", "section").agg(F.count("*").alias("keys")).groupBy("line").agg(F.sum("keys").alias("keys"), F.count("*").alias("sections"))
+    boilerplate = counts.join(alone, "line").where((F.col("surplus") > SURPLUS * F.col("keys")) & (F.col("sections") >= SECTIONS)).select("line")
+    return wanted.select("rec_id", lines).join(boilerplate, "line", "left_semi").select("rec_id").distinct().withColumn("edge", F.lit(True))
+
+
+def judged(conflicts: DataFrame) -> DataFrame:
+    """key, text_hash, damage of every text of ``conflicting``: 0 for undamaged ones, more for worse ones."""
+    texts = stored(conflicts)
+    heaviest = F.struct("weight", F.length("text"), "text_hash")
+    group = texts.groupBy(*KEY, "slots").agg(
+        F.max_by(F.struct("rec_id", "text_hash", "text", "weight"), heaviest).alias("c"), F.sum("weight").alias("total"), (F.count("*") - 1).alias("members")
+    )
+    # the row of the column text stands for the key from here on
+    group = group.select(*KEY, F.col("c.rec_id").alias("center"), F.col("c.text_hash").alias("center_hash"), F.coalesce("c.text", F.lit("")).alias("columns"), F.col("c.weight").alias("columns_weight"), "total", "members", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slice"))
+    met = texts.withColumn("slice", F.pmod("text_hash", "slots").cast("int")).join(group, [*KEY, "slice"])
+    aligned = stored(met.select("center", "rec_id", "columns", F.coalesce("text", F.lit("")).alias("text"), "weight", "columns_weight", "total", "members", (F.col("text_hash") == F.col("center_hash")).alias("own"), *KEY, "text_hash").mapInArrow(_aligned, _ALIGNED))
+    # keys of two texts are settled by themselves: nobody else votes there
+    voting = aligned.where("members > 1")
+    cast = voting.select("center", "weight", "total", "columns_weight", "rec_id", F.explode("departures").alias("d")).select("center", "weight", "total", "columns_weight", "rec_id", "d.*")
+    votes = cast.groupBy("center", "col", "kind", "slot", "total", "columns_weight").agg(F.sum("weight").alias("votes"), F.max("weight").alias("heaviest"))
+    won = F.col("votes") > F.col("total") - F.col("votes")
+    good = F.when(F.col("kind") == GAP, (F.col("heaviest") >= KNOWN) | (won & (F.col("columns_weight") >= INTACT))).otherwise(F.col("votes") >= INTACT)
+    votes = stored(votes.select("center", "col", "kind", "slot", good.alias("good"), (won & (F.col("kind") != GAP) & (F.col("columns_weight") >= INTACT)).alias("won")))
+    # inserted tokens that have most of the weight are missing wherever they are not
+    due = votes.where((F.col("kind") == INSERTED) & F.col("won")).groupBy("center").agg(F.collect_list(F.struct("col", "slot")).alias("due"))
+    scored = cast.join(votes, ["center", "col", "kind", "slot"]).groupBy("center", "rec_id").agg(F.collect_list(F.struct("col", "kind", "slot", "good", "won")).alias("found"))
+    many = voting.select("center", "rec_id", "n_columns", "weight", *KEY, "text_hash").join(scored, ["center", "rec_id"], "left").join(due, "center", "left")
+    many = many.select(*KEY, "text_hash", "weight", _scored("found", "due", "n_columns").alias("damage"))
+    two = aligned.where("members <= 1").select(*KEY, "text_hash", "weight", "damage")
+    return two.unionByName(many).select(*KEY, "text_hash", (F.col("damage") + F.when(F.col("weight") == DAMAGED, 0.5).otherwise(0.0)).alias("damage"))
+
+
+_ALIGNED = f"center long, rec_id long, weight double, columns_weight double, total double, members long, n_columns int, departures {_DEPARTURES}, damage double, gsn string, fassung_vom string, section string, text_hash long"
+_DEPARTURE_TYPE = pa.list_(pa.struct([("col", pa.int32()), ("kind", pa.int32()), ("slot", pa.int64())]))
+_ALIGNED_TYPES = pa.schema([("center", pa.int64()), ("rec_id", pa.int64()), ("weight", pa.float64()), ("columns_weight", pa.float64()), ("total", pa.float64()), ("members", pa.int64()), ("n_columns", pa.int32()), ("departures", _DEPARTURE_TYPE), ("damage", pa.float64()), *((k, pa.string()) for k in KEY), ("text_hash", pa.int64())])
+
+
+def _slot(token: str, occurrence: int) -> int:
+    return xxhash.xxh3_64_intdigest(token, occurrence) - (1 << 63)
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for center, rec_id, columns, text, weight, columns_weight, total, members, own, *key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            leaders = tokens_of(columns)
+            found = [] if own else departures(leaders, tokens_of(text))
+            damage, kept = None, []
+            if members <= 1:
+                damage = cost([(c, k, accepted(k, weight)) for c, k, _, _ in found], len(leaders))
+            else:
+                kept = [{"col": c, "kind": k, "slot": _slot(t, n)} for c, k, t, n in found]
+            out.append((center, rec_id, weight, columns_weight, total, members, len(leaders), kept, damage, *key))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True) if out else [[]] * len(_ALIGNED_TYPES), _ALIGNED_TYPES, strict=True)], schema=_ALIGNED_TYPES)
+
+
+def score(found: Sequence[dict], due: Sequence[dict], n_columns: int) -> float:
+    """The damage of one text from its judged departures and the inserted tokens that its key mostly has."""
+    mine = {(d["col"], d["slot"]) for d in found if d["kind"] == INSERTED}
+    rows = [(d["col"], d["kind"] != INSERTED, d["kind"], d["good"]) for d in found if not d["won"]]
+    # a missing insertion stands before its column, like the insertion itself
+    rows += [(d["col"], False, INSERTED + 1, False) for d in due if (d["col"], d["slot"]) not in mine]
+    rows.sort()
+    gaps = sum(kind > INSERTED for _, _, kind, _ in rows)
+    return cost([(c, kind, good) for c, _, kind, good in rows if kind <= INSERTED], n_columns) + gaps
+
+
+@F.pandas_udf(DoubleType())
+def _scored(found: pd.Series, due: pd.Series, n_columns: pd.Series) -> pd.Series:
+    return pd.Series([score([] if f is None else f, [] if d is None else d, n) for f, d, n in zip(found, due, n_columns, strict=True)], dtype="float64")
 
 
 def ranked(rows: DataFrame, quellen: DataFrame) -> DataFrame:
@@ -187,12 +243,18 @@ def best(rows_order: Sequence[str] = ()) -> Column:
     return F.struct(*rows_order, F.col("rang"), late.alias("late"), F.col("rec_id"))
 
 
-def kept_texts(fassung: DataFrame, quellen: DataFrame, judge: Judge = judge_by_parts) -> DataFrame:
+def with_damage(fassung: DataFrame, quellen: DataFrame, *more: str | Column) -> DataFrame:
+    """The rows of ``keyed`` with ``rang`` and ``damage`` of their text; texts that no other text contradicts have 0."""
+    rows = stored(keyed(fassung, "quelle", "geladen_am", *more))
+    damage = judged(conflicting(fassung, rows))
+    return ranked(rows, quellen).join(damage, [*KEY, "text_hash"], "left").withColumn("damage", F.coalesce("damage", F.lit(0.0)))
+
+
+def kept_texts(fassung: DataFrame, quellen: DataFrame) -> DataFrame:
     """One row a key: gsn, fassung_vom, section, rec_id and text_hash of the row whose body is kept.
 
     Kept is an undamaged text, among several that of the lowest source rank, then of the latest load, then of the
     lowest rec_id. If all are damaged, the least damaged one is kept.
     """
-    rows = stored(keyed(fassung, "quelle", "geladen_am"))
-    damage = judged(conflicting(fassung, rows), judge)
-    return ranked(rows, quellen).join(damage, [*KEY, "text_hash"], "left").withColumn("damage", F.coalesce("damage", F.lit(0.0))).groupBy(*KEY).agg(F.min_by(F.struct("rec_id", "text_hash"), best(["damage"])).alias("_b")).select(*KEY, "_b.rec_id", "_b.text_hash")
+    rows = with_damage(fassung, quellen)
+    return rows.groupBy(*KEY).agg(F.min_by(F.struct("rec_id", "text_hash"), best(["damage"])).alias("_b")).select(*KEY, "_b.rec_id", "_b.text_hash")

@@ -12,7 +12,9 @@ from statuta.functions.charforms import consistent, consistent_form
 from statuta.functions.integrity import broken_characters, cut_off, repeats
 from statuta.functions.section_ids import regular_id
 from statuta.functions.sequences import common_subsequence, edit_script
-from statuta.operators.duplicates import Wholes, judge_by_parts, judged, kept_texts, lacks_part_of
+from statuta.functions.alignment import align, longest_common, tokens_of
+from statuta.operators import duplicates
+from statuta.operators.duplicates import cost, departures, kept_texts, with_damage
 from statuta.operators.history import DeltaStore
 from statuta.operators.shred import numbered_descendants, parent_label, shred_array_levels, shred_xml, xml_nodes
 from statuta.operators.snapshot_diff import changes
@@ -132,11 +134,76 @@ def test_history_of_nothing(spark):
     assert changes(df, "law", "date", "sec", "v").count() == 0
 
 
-def test_judge_by_parts():
-    full = "§ 1. (1) Die Gebühr beträgt zehn Euro.\n1. für Erwachsene,\n2. für Kinder."
-    assert lacks_part_of(full.replace("1. für Erwachsene,\n", ""), full) and not lacks_part_of(full, full)
-    texts = [(full, False, False), (full.replace("1. für Erwachsene,\n", ""), False, False), (full[:30], False, False), ("Text", True, True), (None, False, False), (full + "\n" + full, False, False)]
-    assert [d == 0 for d in judge_by_parts(texts)] == [True, False, False, False, False, False]
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
+def test_align(a, b):
+    for pairs in (align(a, b), longest_common(a, b)):
+        assert all(a[i] == b[j] for i, j in pairs) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
+    assert len(longest_common(a, b)) == len(common_subsequence(a, b))
+
+
+def test_align_large():
+    rng = random.Random(1)
+    a = [str(rng.randrange(5000)) for _ in range(3000)]
+    b = a[:1000] + ["x"] * 50 + a[1000:2000] + a[2100:]
+    assert len(align(a, b)) >= 2890
+    # a long stretch of repeated lines without a unique token, changed in two distant places
+    table = ["row", "of", "figures", "\n"] * 2000
+    changed = table[:400] + ["other"] + table[401:7000] + ["other"] + table[7001:]
+    assert len(align(table, changed)) == len(table) - 2
+
+
+FULL = "§ 1. (1) Die Gebühr beträgt zehn Euro im Jahr.\n1. für Erwachsene der Gemeinde,\n2. für Kinder der Gemeinde,\nDer Betrag ist am Ersten fällig."
+
+
+def test_departures():
+    columns = tokens_of(FULL)
+    rebuilt = {}
+    for text in (FULL[:50], FULL.replace("1. für Erwachsene der Gemeinde,\n", ""), FULL.replace("zehn", "elf"), "", "x x x", FULL + " Und mehr mehr."):
+        found = departures(columns, tokens_of(text))
+        assert [x[0] for x in found] == sorted(x[0] for x in found)
+        out = []
+        by = defaultdict(list)
+        for c, kind, token, _ in found:
+            by[c].append((kind, token))
+        for c in range(len(columns) + 1):
+            out += [t for k, t in by[c] if k == duplicates.INSERTED]
+            changed = [(k, t) for k, t in by[c] if k != duplicates.INSERTED]
+            out += [t for k, t in changed if k == duplicates.OTHER] if changed else columns[c : c + 1]
+        rebuilt[text] = out
+    assert all(out == tokens_of(text) or tokens_of(text)[: len(out)] == out for text, out in rebuilt.items())
+    assert departures(columns, columns) == [] and cost([], len(columns)) == 0.0
+    # a number cut through is missing, not another number
+    assert {k for _, k, _, _ in departures(tokens_of("mehr als 49.227 Meter im Jahr."), tokens_of("mehr als 49."))} == {duplicates.GAP}
+
+
+def damages(spark, texts, sources=("a",)):
+    """The damage of each text of one key; ``texts``: (text, whether it stands at another date as well)."""
+    rows = [(k, "g", "d", "§_1", None, t, sources[k % len(sources)], None) for k, (t, _) in enumerate(texts)]
+    rows += [(10_000 + k, "g", f"e{k}", "§_1", None, t, "a", None) for k, (t, elsewhere) in enumerate(texts) if elsewhere]
+    q = spark.createDataFrame([("a", 1), ("b", 2)], "quelle string, rang int")
+    return {r.rec_id: r.damage for r in with_damage(fassung(spark, rows), q).where("fassung_vom = 'd'").collect()}
+
+
+def test_damage(spark):
+    cut, item = FULL[:50], FULL.replace("1. für Erwachsene der Gemeinde,\n", "")
+    texts = [FULL, cut, item, None, FULL.replace("ü", "�"), FULL + "\n" + FULL]
+    got = damages(spark, [(x, False) for x in texts] + [(FULL.replace("zehn", "elf"), True)])
+    assert [got[k] == 0 for k in range(7)] == [True, False, False, False, False, False, True]
+    # a shorter text known from another date is a wording of its own
+    got = damages(spark, [(FULL, False), (item, True)])
+    assert got == {0: 0.0, 1: 0.0}
+    assert set(damages(spark, [(None, False), ("", False)]).values()) == {0.0}  # one text: nothing to choose
+
+
+def test_boilerplate(spark):
+    """A line at an edge that the key's other texts lack, in several sections, is no part of the text."""
+    line = "[Dokument wird geladen]"
+    rows, texts = [], [FULL.replace("zehn", w) for w in ("elf", "zwölf")]
+    for k, x in enumerate(texts):
+        rows += [(2 * k, "g", "d", f"§_{k}", None, line + "\n" + x, "a", None), (2 * k + 1, "g", "d", f"§_{k}", None, x, "b", None)]
+    q = spark.createDataFrame([("a", 1), ("b", 2)], "quelle string, rang int")
+    assert sorted(r.rec_id for r in kept_texts(fassung(spark, rows), q).collect()) == [1, 3]
 
 
 def fassung(spark, rows):
@@ -307,36 +374,23 @@ def test_xml_sections(spark):
     assert [tuple(x) for x in unknown_tags(df).collect()] == [("neu", 1)]
 
 
-def test_missing_part_by_sorted_order():
-    """Many texts are searched by sorted order, with the results of comparing all pairs."""
-    import random
-
-    rng = random.Random(5)
-    for _ in range(60):
-        base = [rng.choice(["a ", "b ", "aa", "c\n"]) for _ in range(14)]
-        texts = ["".join(base[:i] + base[j:]) for i, j in (sorted((rng.randrange(15), rng.randrange(15))) for _ in range(40))]
-        texts += ["".join(rng.choice("ab ") for _ in range(rng.randrange(1, 9))) for _ in range(20)]
-        wholes = Wholes(texts)
-        assert [wholes.lacking(a) for a in texts] == [any(lacks_part_of(a, b) for b in texts) for a in texts]
-
-
 def many_texts():
     """One key with 400 wordings, each also without its end and without its middle: [(text, whether it is whole)]."""
     out = []
     for k in range(400):
-        full = f"§ 1. Fall {k} betrifft die Gebühr.\n1. Für Erwachsene gelten {k} Euro im Jahr.\n2. Für Kinder gilt Fall {k} nicht."
+        full = f"§ 1. Fall {k} betrifft die Gebühr.\n1. Für Erwachsene gelten {k} Euro im ganzen Jahr.\n2. Für Kinder gilt Fall {k} nicht."
         lines = full.split("\n")
         out += [(full, True), ("\n".join(lines[:2]), False), (lines[0] + "\n" + lines[2], False)]
     return out
 
 
-def test_key_of_many_texts(spark):
-    """The texts of one key are judged together, however many there are."""
+@pytest.mark.parametrize("size", [50, 4096])
+def test_key_of_many_texts(spark, monkeypatch, size):
+    """The texts of one key are judged alike, however many they are and however they are sliced."""
+    monkeypatch.setattr(duplicates, "SLICE", size)
     texts = many_texts()
-    rows = [("g", "d", "s", k, t, False, False) for k, (t, _) in enumerate(texts)]
-    df = spark.createDataFrame(rows, "gsn string, fassung_vom string, section string, text_hash long, text string, elsewhere boolean, edge boolean")
-    got = {r.text_hash: r.damage == 0 for r in judged(df).collect()}
-    assert got == {k: whole for k, (_, whole) in enumerate(texts)}
+    got = damages(spark, [(t, False) for t, _ in texts])
+    assert {k: d == 0 for k, d in got.items()} == {k: whole for k, (_, whole) in enumerate(texts)}
 
 
 def test_kept_text_of_many(spark):
