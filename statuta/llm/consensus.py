@@ -1,238 +1,22 @@
 """One surviving record of each group of duplicates, by token-level consensus.
 
-The different texts of a group are aligned progressively: the most trusted text first, each further one to the
-columns so far. Every text votes for its token, or for a gap, in every column, with a weight by its state: texts with
-signs of damage or boilerplate at an edge hardly count, texts that were delivered for another date as well count more.
-A token is accepted in a column if undamaged texts vote for it, a gap only if a text known from another date has it
-(otherwise what others have is missing there). The value closest to the consensus, i.e. with the fewest tokens that
-are not accepted, survives; it is always an existing value. Ties go to the lowest source rank, then the latest load.
+The different texts of a group are aligned progressively, vote for their tokens by weight, and are scored by their
+distance to the consensus (``operators.duplicates``, which histories and snapshot differences share). The value closest
+to the consensus survives; it is always an existing value. Ties go to the lowest source rank, then the latest load.
+The heading is the surviving row's if it is usable, else the best ranked usable one.
 
 Hashes find the groups whose texts differ; groups of one text never reach Python. Null and blank texts take part as
-texts without tokens.
+texts without tokens. Groups of one row give no row.
 """
 
 from __future__ import annotations
 
-import re
-from array import array
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.charforms import consistent_form
 from ..functions.integrity import BROKEN
-from ..operators.duplicates import KEY, Text, best, conflicting, intrinsic_damage, judged, keyed, ranked
-from ..sources.stored import stored
-
-DAMAGED, INTACT, KNOWN = 0.001, 1.0, 3.0
-#: Equal tokens in a row that show that two stretches of text belong together.
-ANCHOR = 4
-_TOKEN = re.compile(r"\S+|\n")
-#: Residues up to this many cells are aligned by dynamic programming, larger ones by their unique common tokens first.
-_CELLS = 2_500
-
-
-def align(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
-    """Pairs of positions with equal tokens, ascending in both: ends first, then tokens unique in both, then the rest."""
-    out: list[tuple[int, int]] = []
-    todo = [(0, len(a), 0, len(b))]
-    while todo:
-        i, m, j, n = todo.pop()
-        while i < m and j < n and a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        while i < m and j < n and a[m - 1] == b[n - 1]:
-            m, n = m - 1, n - 1
-            out.append((m, n))
-        if i == m or j == n:
-            continue
-        if (m - i) * (n - j) <= _CELLS:
-            out += _longest_common(a, b, i, m, j, n)
-            continue
-        at: dict[str, list[int]] = {}
-        for k in range(i, m):
-            at.setdefault(a[k], [0, 0, -1, -1])
-            at[a[k]][0] += 1
-            at[a[k]][2] = k
-        for k in range(j, n):
-            if b[k] in at:
-                at[b[k]][1] += 1
-                at[b[k]][3] = k
-        anchors = _rising(sorted((x[2], x[3]) for x in at.values() if x[0] == x[1] == 1))
-        if not anchors:
-            continue  # nothing in common that is not repeated: the stretches face each other as a whole
-        p, q = i, j
-        for k, z in anchors:
-            out.append((k, z))
-            todo.append((p, k, q, z))
-            p, q = k + 1, z + 1
-        todo.append((p, m, q, n))
-    return sorted(out)
-
-
-def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """A longest part of ``pairs`` (ascending in the first) that ascends in the second."""
-    from bisect import bisect_left
-
-    tails: list[int] = []
-    ends: list[int] = []
-    back: list[int] = []
-    for k, (_, z) in enumerate(pairs):
-        at = bisect_left(tails, z)
-        back.append(ends[at - 1] if at else -1)
-        if at == len(tails):
-            tails.append(z)
-            ends.append(k)
-        else:
-            tails[at], ends[at] = z, k
-    out, k = [], ends[-1] if ends else -1
-    while k >= 0:
-        out.append(pairs[k])
-        k = back[k]
-    return out[::-1]
-
-
-def _longest_common(a: Sequence[str], b: Sequence[str], i: int, m: int, j: int, n: int) -> list[tuple[int, int]]:
-    rows = [[0] * (n - j + 1) for _ in range(m - i + 1)]
-    for p in range(m - i - 1, -1, -1):
-        for q in range(n - j - 1, -1, -1):
-            rows[p][q] = rows[p + 1][q + 1] + 1 if a[i + p] == b[j + q] else max(rows[p + 1][q], rows[p][q + 1])
-    out, p, q = [], 0, 0
-    while p < m - i and q < n - j:
-        if a[i + p] == b[j + q]:
-            out.append((i + p, j + q))
-            p, q = p + 1, q + 1
-        elif rows[p + 1][q] >= rows[p][q + 1]:
-            p += 1
-        else:
-            q += 1
-    return out
-
-
-class Profile:
-    """Columns of an alignment; a column maps each token to its votes, "" being the gap."""
-
-    def __init__(self) -> None:
-        self.columns: list[dict[str, float]] = []
-        self.leaders: list[str] = []
-        self.total = 0.0
-        self.members: list[tuple[array, tuple[str, ...]]] = []
-        self.ids: list[int] = []
-        self._next = 0
-
-    def _column(self, token: str, weight: float) -> tuple[int, dict[str, float]]:
-        self._next += 1
-        return self._next, {token: weight, "": self.total}
-
-    def add(self, tokens: Sequence[str], weight: float) -> None:
-        """Aligns one more text; its tokens join equal or facing columns, others open new ones."""
-        pairs = dict(align(self.leaders, tokens))
-        ids, columns, leaders, mine = [], [], [], {}
-        j = 0
-
-        def open_columns(upto: int) -> None:
-            nonlocal j
-            while j < upto:
-                k, column = self._column(tokens[j], weight)
-                ids.append(k)
-                columns.append(column)
-                leaders.append(tokens[j])
-                mine[k] = tokens[j]
-                j += 1
-
-        waiting: list[int] = []  # columns without an equal token since the last equal one
-
-        def face(upto: int) -> None:
-            # replaced stretches: facing tokens share a column
-            nonlocal j
-            for c in waiting:
-                k = self.ids[c]
-                if j < upto:
-                    self.columns[c][tokens[j]] = self.columns[c].get(tokens[j], 0.0) + weight
-                    mine[k] = tokens[j]
-                    j += 1
-                else:
-                    self.columns[c][""] = self.columns[c].get("", 0.0) + weight
-                ids.append(k)
-                columns.append(self.columns[c])
-                leaders.append(self.leaders[c])
-            waiting.clear()
-            open_columns(upto)
-
-        for c in range(len(self.columns)):
-            if c not in pairs:
-                waiting.append(c)
-                continue
-            face(pairs[c])
-            self.columns[c][tokens[j]] = self.columns[c].get(tokens[j], 0.0) + weight
-            mine[self.ids[c]] = tokens[j]
-            ids.append(self.ids[c])
-            columns.append(self.columns[c])
-            leaders.append(tokens[j])
-            j += 1
-        face(len(tokens))
-        self.ids, self.columns, self.leaders = ids, columns, leaders
-        self.total += weight
-        self.members.append((array("l", mine), tuple(mine.values())))  # a fraction of what the dict takes
-
-    def distances(self) -> list[float]:
-        """For each text, in the order of adding, the number of columns where it has what is not accepted.
-
-        In a stretch of columns where a text departs from the consensus with accepted tokens of its own, it is a
-        wording of its own rather than a text that lacks something: gaps in such a stretch cost nothing.
-        """
-        columns = []
-        for k, column in zip(self.ids, self.columns, strict=True):
-            winner = max(column, key=lambda t: (column[t], t))
-            good = {t for t, w in column.items() if t and w >= INTACT}
-            if column.get("", 0.0) >= (KNOWN if good else INTACT):
-                good.add("")
-            columns.append((k, winner, good or {winner}))
-        out = []
-        for at, held in self.members:
-            mine = dict(zip(at, held, strict=True))
-            out.append(float(_departures([(mine.get(k, ""), winner, good) for k, winner, good in columns])))
-        return out
-
-
-def _departures(columns: list[tuple[str, str, set[str]]]) -> int:
-    """The cost of one text, given its token, the consensus and the accepted tokens of each column."""
-    # stretches: [length of the equal part before, gaps, own wording]
-    stretches, equal, cost, inside = [], 0, 0, False
-    for token, winner, good in columns:
-        if token == winner:
-            equal, inside = (1 if inside else equal + 1), False
-            continue
-        if not inside:
-            stretches.append([equal, 0, False])
-            inside = True
-        if token:
-            stretches[-1][2] |= token in good
-            cost += token not in good
-        else:
-            stretches[-1][1] += token not in good
-    after = [*(x[0] for x in stretches[1:]), ANCHOR if inside else equal]
-    for k, ((before, gaps, own), behind) in enumerate(zip(stretches, after, strict=False)):
-        # something is missing only between parts that are equal for a while, or at the end of such a part
-        firm = (k == 0 or before >= ANCHOR) and (k == len(stretches) - 1 or behind >= ANCHOR)
-        cost += gaps if firm and not own else 0
-    return cost
-
-
-def judge_by_consensus(texts: Sequence[Text]) -> list[float]:
-    """The distance of each text of a group to the group's consensus, 0 for undamaged ones."""
-    weights = [DAMAGED if intrinsic_damage(t) or edge else KNOWN if elsewhere else INTACT for t, elsewhere, edge in texts]
-    words: dict[str, str] = {}  # equal tokens are one object
-    tokens = [[words.setdefault(w, w) for w in _TOKEN.findall(t or "")] for t, _, _ in texts]
-    order = sorted(range(len(texts)), key=lambda k: (-weights[k], -len(tokens[k]), tokens[k]))
-    profile = Profile()
-    for k in order:
-        profile.add(tokens[k], weights[k])
-    out = [0.0] * len(texts)
-    for k, d in zip(order, profile.distances(), strict=True):
-        out[k] = d + (0.5 if weights[k] == DAMAGED else 0.0)
-    return out
+from ..operators.duplicates import KEY, best, with_damage
 
 
 def usable_heading(heading: Column) -> Column:
@@ -245,9 +29,7 @@ def usable_heading(heading: Column) -> Column:
 
 def survivors(fassung: DataFrame, quellen: DataFrame) -> DataFrame:
     """body_rec_id, heading_rec_id and the key of every key with two rows or more."""
-    rows = stored(keyed(fassung, "quelle", "geladen_am", usable_heading(consistent_form(F.col("heading"))).alias("usable")))
-    damage = judged(conflicting(fassung, rows), judge_by_consensus)
-    rows = ranked(rows, quellen).join(damage, [*KEY, "text_hash"], "left").withColumn("damage", F.coalesce("damage", F.lit(0.0)))
+    rows = with_damage(fassung, quellen, usable_heading(consistent_form(F.col("heading"))).alias("usable"))
     groups = rows.groupBy(*KEY).agg(
         F.count("*").alias("n"),
         F.min_by(F.struct("rec_id", "usable"), best(["damage"])).alias("body"),

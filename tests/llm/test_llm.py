@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from statuta.llm import bpe, consensus, linkage, mixing, spans, spelling
-from statuta.operators.duplicates import conflicting, judged, keyed
 
 
 def rows_of(df):
@@ -173,32 +172,9 @@ def test_spelling(spark):
 # --- consensus
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.sampled_from("abcd"), max_size=12))
-def test_align(a, b):
-    pairs = consensus.align(a, b)
-    assert all(a[i] == b[j] for i, j in pairs) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
-
-
-def test_align_large():
-    rng = random.Random(1)
-    a = [str(rng.randrange(5000)) for _ in range(3000)]
-    b = a[:1000] + ["x"] * 50 + a[1000:2000] + a[2100:]
-    assert len(consensus.align(a, b)) >= 2890
-
-
 FULL = "§ 1. (1) Die Gebühr beträgt zehn Euro im Jahr.\n1. für Erwachsene der Gemeinde,\n2. für Kinder der Gemeinde,\nDer Betrag ist am Ersten fällig."
 
 
-def test_judge():
-    cut, item = FULL[:50], FULL.replace("1. für Erwachsene der Gemeinde,\n", "")
-    texts = [(FULL, False, False), (cut, False, False), (item, False, False), (None, False, False), (FULL.replace("ü", "�"), False, False), ("Seite drucken\n" + FULL, False, True), (FULL + "\n" + FULL, False, False), (FULL.replace("zehn", "elf"), True, False)]
-    assert [d == 0 for d in consensus.judge_by_consensus(texts)] == [True, False, False, False, False, False, False, True]
-    # a shorter text known from another date is a wording of its own
-    assert consensus.judge_by_consensus([(FULL, False, False), (item, True, False)]) == [0.0, 0.0]
-    assert consensus.judge_by_consensus([(None, False, False)]) == [0.5] and consensus.judge_by_consensus([]) == []
-
-
 def test_survivors(spark):
     at = [datetime(2020, 1, k) for k in range(1, 10)]
     rows = [
@@ -213,20 +189,6 @@ def test_survivors(spark):
     assert consensus.survivors(df.limit(0), q).count() == 0
 
 
-def test_key_of_many_texts(spark):
-    """One consensus for all texts of a key, however many there are."""
-    texts = [FULL.replace("zehn", f"{k}") + f"\nNur im Fall {k} gilt Absatz {k % 7}." * (k % 50 == 0) for k in range(400)]
-    texts += [t[:70] for t in texts]
-    rows = [(k, "g", "d", "§_1", t) for k, t in enumerate(texts)]
-    df = spark.createDataFrame(rows, "rec_id long, gsn string, fassung_vom string, section_id string, body string")
-    conflicts = conflicting(df, keyed(df))
-    hashes = {r.text: r.text_hash for r in conflicts.collect()}
-    got = {r.text_hash: r.damage for r in judged(conflicts, consensus.judge_by_consensus).collect()}
-    order = sorted(hashes, key=hashes.get)
-    whole = consensus.judge_by_consensus([(t, False, False) for t in order])
-    assert [got[hashes[t]] for t in order] == whole and len(order) == len(set(texts)) > 700
-
-
 # --- linkage
 
 
