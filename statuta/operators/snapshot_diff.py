@@ -1,9 +1,11 @@
 """What changed between consecutive full snapshots, by Merkle trees over hash ranges.
 
-The entity keys of a snapshot fall into ``LEAVES`` ranges of their hash. The digest of a range is a sum of row hashes
-(so it comes from partial aggregates, whatever the order); ranges of a level are summed up to those of the level
-above, up to one digest a snapshot. Two consecutive snapshots are compared from the top: only children of ranges that
-differ are looked at, and only rows of leaf ranges that differ are compared one by one.
+The entity keys of an owner's snapshots fall into ranges of their hash, the leaves: as many (a power of ``FAN``) as give
+``ROWS_A_LEAF`` rows a leaf in the owner's largest snapshot. The digest of a range is the exclusive or of two row hashes
+of 64 bits each, so it comes from partial aggregates, and the digest of a higher range from those below it. The leaf
+digests of a snapshot are packed into one row (one row for each ``FAN ** PACKED`` leaves, however large the snapshot
+is); that row meets the row of the snapshot before, and the trees above both are compared from the top: only children
+of ranges that differ are looked at. Rows are compared one by one in leaves that differ only.
 
 Nulls: rows with a null owner, date or entity belong to no snapshot; a null value is a value. Repeated rows of one
 entity at one date count once (the greatest value is taken). A first snapshot has nothing to be compared with.
@@ -11,53 +13,89 @@ entity at one date count once (the greatest value is taken). A first snapshot ha
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.stored import stored
-from .history import snapshot_dates
 
-FAN = 16
-DEPTH = 2
-LEAVES = FAN**DEPTH
+FAN = 4
+ROWS_A_LEAF = 4
+#: Levels of the tree below one packed row; a row has at most FAN ** PACKED leaves.
+PACKED = 6
 
 
-def _digests(level: DataFrame, *keys: str) -> DataFrame:
-    # decimal sums can't overflow as sums of longs would; two sums of independent hashes make 128 bits
-    return level.groupBy(*keys).agg(F.sum("d1").alias("d1"), F.sum("d2").alias("d2"), F.sum("n").alias("n"))
+def differing_leaves(depth: int, now: tuple[np.ndarray, np.ndarray, np.ndarray], before: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The leaves whose digests differ in two trees of ``depth`` levels, each given by (leaf, digest, digest) of the leaves not empty."""
+    n = FAN**depth
+    trees = []
+    for leaf, d1, d2 in (now, before):
+        level = np.zeros((2, n), np.int64)
+        level[0, leaf], level[1, leaf] = d1, d2
+        levels = [level]
+        while level.shape[1] > 1:
+            level = np.bitwise_xor.reduce(level.reshape(2, -1, FAN), axis=2)
+            levels.append(level)
+        trees.append(levels)
+    asked = np.zeros(1, np.int64)
+    for a, b in zip(reversed(trees[0]), reversed(trees[1]), strict=True):
+        asked = asked[(a[:, asked] != b[:, asked]).any(axis=0)]
+        if a.shape[1] < n:
+            asked = (asked[:, None] * FAN + np.arange(FAN)).ravel()
+    return asked
 
 
-def _differing(level: DataFrame, dates: DataFrame, owner: str, date: str, *bucket: str) -> DataFrame:
-    """owner, date (of the later snapshot), bucket: the ranges whose digests differ from the snapshot before."""
-    digest = [F.col(c) for c in ("d1", "d2", "n")]
-    now = level.join(dates.where("prev_date is not null").select(owner, date), [owner, date]).select(owner, F.col(date).alias("at"), *bucket, *digest, F.lit(1).alias("side"))
-    before = level.join(dates.where("next_date is not null").select(owner, date, "next_date"), [owner, date]).select(owner, F.col("next_date").alias("at"), *bucket, *digest, F.lit(-1).alias("side"))
-    both = now.unionByName(before).groupBy(owner, "at", *bucket).agg(*(F.sum(F.col(c) * F.col("side")).alias(c) for c in ("d1", "d2", "n")))
-    return both.where("d1 != 0 or d2 != 0 or n != 0").select(owner, "at", *bucket)
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """owner, at, branch, depth and two packed rows each to owner, at, leaf."""
+    for batch in batches:
+        depth, branch = batch.column("depth").to_pylist(), batch.column("branch").to_pylist()
+        sides = []
+        for side in ("now", "before"):
+            lists = batch.column(side)
+            flat = lists.flatten()
+            ends = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0), np.int64))])
+            sides.append((ends, *(np.asarray(flat.field(k)) for k in ("leaf", "d1", "d2"))))
+        found, at = [], []
+        for k in range(batch.num_rows):
+            trees = [tuple(x[ends[k] : ends[k + 1]] for x in cols) for ends, *cols in sides]
+            leaves = differing_leaves(min(depth[k], PACKED), *trees)
+            found.append(leaves + branch[k] * FAN ** min(depth[k], PACKED))
+            at.append(np.full(len(leaves), k))
+        index = pa.array(np.concatenate(at) if at else np.zeros(0, np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("owner").take(index), batch.column("at").take(index), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], names=["owner", "at", "leaf"])
 
 
 def changes(rows: DataFrame, owner: str, date: str, entity: str, value: str) -> DataFrame:
     """owner, date, entity, change_kind (added, removed, changed) for each difference from the owner's snapshot before."""
-    rows = rows.where(F.col(owner).isNotNull() & F.col(date).isNotNull() & F.col(entity).isNotNull()).groupBy(owner, date, entity).agg(F.max(value).alias("_v"))
-    rows = stored(rows.withColumns({"h": F.xxhash64(entity, F.coalesce(F.hash("_v"), F.lit(0)), "_v"), "leaf": F.pmod(F.xxhash64(entity), F.lit(LEAVES)).cast("int")}))
-    dates = stored(snapshot_dates(rows, owner, date))
-    big: Column = F.col("h").cast("decimal(20,0)")
-    level = _digests(rows.select(owner, date, "leaf", big.alias("d1"), F.xxhash64("h", F.lit(7)).cast("decimal(20,0)").alias("d2"), F.lit(1).alias("n")), owner, date, "leaf")
-    levels = {DEPTH: stored(level)}
-    for depth in range(DEPTH - 1, -1, -1):
-        levels[depth] = stored(_digests(levels[depth + 1].withColumn("leaf", F.floor(F.col("leaf") / FAN).cast("int")), owner, date, "leaf"))
-    differ = stored(_differing(levels[0], dates, owner, date, "leaf"))
-    for depth in range(1, DEPTH + 1):
-        # of this level, only children of ranges that differ, in either of the two snapshots
-        spans = differ.join(dates.select(owner, F.col(date).alias("at"), "prev_date"), [owner, "at"])
-        parents = spans.select(owner, F.explode(F.array("at", "prev_date")).alias(date), F.col("leaf").alias("parent")).distinct()
-        below = levels[depth].withColumn("parent", F.floor(F.col("leaf") / FAN).cast("int")).join(parents, [owner, date, "parent"], "left_semi").drop("parent")
-        asked = differ.select(owner, "at", F.col("leaf").alias("parent"))
-        found = _differing(below, dates, owner, date, "leaf").withColumn("parent", F.floor(F.col("leaf") / FAN).cast("int"))
-        differ = stored(found.join(asked, [owner, "at", "parent"], "left_semi").drop("parent"))
-    spans = differ.join(dates.select(owner, F.col(date).alias("at"), "prev_date"), [owner, "at"])
-    sides = spans.select(owner, "leaf", "at", F.explode(F.array(F.struct(F.col("at").alias(date), F.lit(True).alias("now")), F.struct(F.col("prev_date").alias(date), F.lit(False).alias("now")))).alias("s")).select(owner, "leaf", "at", f"s.{date}", "s.now")
-    found = rows.select(owner, date, entity, "leaf", F.struct("_v").alias("v")).join(sides, [owner, date, "leaf"])
-    pairs = found.groupBy(owner, "at", entity).agg(F.max(F.when(F.col("now"), F.col("v"))).alias("new"), F.max(F.when(~F.col("now"), F.col("v"))).alias("old"))
+    rows = rows.where(F.col(owner).isNotNull() & F.col(date).isNotNull() & F.col(entity).isNotNull())
+    rows = stored(rows.groupBy(F.col(owner).cast("string").alias("owner"), F.col(date).alias("date"), F.col(entity).alias("entity")).agg(F.max(value).alias("v")))
+    # one row a snapshot in these windows
+    of_owner = Window.partitionBy("owner")
+    dates = rows.groupBy("owner", "date").agg(F.count("*").alias("n")).withColumns({"seq": F.row_number().over(of_owner.orderBy("date")), "last": F.count("*").over(of_owner), "most": F.max("n").over(of_owner)})
+    depth = F.greatest(F.lit(0), F.ceil(F.log(F.col("most") / ROWS_A_LEAF) / F.log(F.lit(float(FAN))))).cast("int")
+    dates = stored(dates.select("owner", "date", "seq", "last", depth.alias("depth")))
+    by_hash = F.xxhash64("entity")
+    leaf = F.shiftrightunsigned(by_hash, 1) % F.pow(F.lit(FAN), F.col("depth")).cast("long")
+    placed = rows.join(dates.where("last > 1"), ["owner", "date"]).select("owner", "seq", "last", "depth", "entity", "v", leaf.alias("leaf"))
+    digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "entity", F.col("v").isNull(), "v"))
+    leaves = placed.groupBy("owner", "seq", "last", "depth", "leaf").agg(digest(1).alias("d1"), digest(2).alias("d2"))
+    # each snapshot is the later side of one comparison and the earlier side of the next one
+    packed = F.pow(F.lit(FAN), F.least("depth", F.lit(PACKED))).cast("long")
+    node = F.struct((F.col("leaf") % packed).cast("int").alias("leaf"), "d1", "d2")
+    sides = F.array_compact(F.array(F.when(F.col("seq") > 1, F.struct(F.col("seq").alias("at"), F.lit(True).alias("now"))), F.when(F.col("seq") < F.col("last"), F.struct((F.col("seq") + 1).alias("at"), F.lit(False).alias("now")))))
+    sided = leaves.select("owner", "depth", F.floor(F.col("leaf") / packed).alias("branch"), node.alias("node"), F.explode(sides).alias("s")).select("owner", "depth", "branch", "node", "s.*")
+
+    def one_side(which: Column) -> Column:
+        return F.collect_list(F.when(which, F.col("node")))
+
+    trees = sided.groupBy("owner", "at", "branch", "depth").agg(one_side(F.col("now")).alias("now"), one_side(~F.col("now")).alias("before"))
+    differ = stored(trees.mapInArrow(_compare, "owner string, at int, leaf long"))
+    asked = differ.select("owner", "at", "leaf", F.explode(F.array(F.struct(F.col("at").alias("seq"), F.lit(True).alias("now")), F.struct((F.col("at") - 1).alias("seq"), F.lit(False).alias("now")))).alias("s")).select("owner", "at", "leaf", "s.*")
+    met = placed.select("owner", "seq", "leaf", "entity", F.struct("v").alias("v")).join(asked, ["owner", "seq", "leaf"])
+    pairs = met.groupBy("owner", "at", "entity").agg(F.max(F.when(F.col("now"), F.col("v"))).alias("new"), F.max(F.when(~F.col("now"), F.col("v"))).alias("old"))
     kind = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(~F.col("new").eqNullSafe(F.col("old")), "changed")
-    return pairs.select(owner, F.col("at").alias(date), entity, kind.alias("change_kind")).where("change_kind is not null")
+    out = pairs.select("owner", F.col("at").alias("seq"), "entity", kind.alias("change_kind")).where("change_kind is not null")
+    return out.join(dates.select("owner", "seq", "date"), ["owner", "seq"]).select(F.col("owner").alias(owner), F.col("date").alias(date), F.col("entity").alias(entity), "change_kind")

@@ -2,6 +2,7 @@ import json
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +14,7 @@ from statuta.functions.integrity import broken_characters, cut_off, repeats
 from statuta.functions.section_ids import regular_id
 from statuta.functions.sequences import common_subsequence, edit_script
 from statuta.functions.alignment import align, longest_common, tokens_of
-from statuta.operators import duplicates
+from statuta.operators import duplicates, snapshot_diff
 from statuta.operators.duplicates import cost, departures, kept_texts, with_damage
 from statuta.operators.history import DeltaStore
 from statuta.operators.shred import numbered_descendants, parent_label, shred_array_levels, shred_xml, xml_nodes
@@ -128,6 +129,26 @@ def test_history_and_changes(spark, every):
     assert {(r.law, r.sec): r.v for r in store.as_of(5).collect()} == last
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 3), st.data())
+def test_differing_leaves(depth, data):
+    n = snapshot_diff.FAN**depth
+    sides = [{k: (data.draw(st.integers(0, 2)), 7) for k in data.draw(st.sets(st.integers(0, n - 1)))} for _ in range(2)]
+    packed = [tuple(np.array(x, np.int64) for x in (sorted(t), [t[k][0] for k in sorted(t)], [t[k][1] for k in sorted(t)])) for t in sides]
+    got = snapshot_diff.differing_leaves(depth, *packed)
+    assert sorted(got) == [k for k in range(n) if sides[0].get(k, (0, 0)) != sides[1].get(k, (0, 0))]
+
+
+def test_changes_of_large_snapshots(spark, monkeypatch):
+    """Snapshots of more leaves than one packed row holds."""
+    monkeypatch.setattr(snapshot_diff, "PACKED", 1)
+    rows = [("a", d, f"s{k}", str(k // 7 if d == "d1" or k % 50 else -k)) for d in ("d1", "d2") for k in range(700) if (d, k % 90) != ("d2", 3)]
+    df = spark.createDataFrame(rows, "law string, date string, sec string, v string")
+    old, new = ({k: v for _, at, k, v in rows if at == d} for d in ("d1", "d2"))
+    due = {(k, "removed" if k not in new else "changed") for k in old if old[k] != new.get(k)}
+    assert {(r.sec, r.change_kind) for r in changes(df, "law", "date", "sec", "v").collect()} == due
+
+
 def test_history_of_nothing(spark):
     df = spark.createDataFrame([], "law string, date string, sec string, v string")
     assert DeltaStore.build(df, "law", "sec", "v", "date").validity().count() == 0
