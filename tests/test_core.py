@@ -133,7 +133,7 @@ def test_history_and_changes(spark, every):
 @given(st.integers(0, 3), st.data())
 def test_differing_leaves(depth, data):
     n = snapshot_diff.FAN**depth
-    sides = [{k: (data.draw(st.integers(0, 2)), 7) for k in data.draw(st.sets(st.integers(0, n - 1)))} for _ in range(2)]
+    sides = [{k: (hash((k, v := data.draw(st.integers(0, 2)))), hash((v, k, 1))) for k in data.draw(st.sets(st.integers(0, n - 1)))} for _ in range(2)]
     packed = [tuple(np.array(x, np.int64) for x in (sorted(t), [t[k][0] for k in sorted(t)], [t[k][1] for k in sorted(t)])) for t in sides]
     got = snapshot_diff.differing_leaves(depth, *packed)
     assert sorted(got) == [k for k in range(n) if sides[0].get(k, (0, 0)) != sides[1].get(k, (0, 0))]
