@@ -9,6 +9,11 @@ from ..functions.law_text import clean_law_name, extract_year, jaccard_words, no
 from ..functions.sequences import matching_ratio
 from ..sources.stored import stored
 
+#: Characters by which an abbreviation is found in those that contain it.
+GRAM = 3
+#: A word in more than this share of the names is a common word.
+COMMON = 0.01
+
 
 def deduplicated(catalog: DataFrame) -> DataFrame:
     """One row a gsn, of the latest scan (the greatest cat_id): gsn, name, abbrev, typ. Null gsn are left out."""
@@ -55,35 +60,64 @@ def match_normalized(entries: DataFrame, catalog: DataFrame) -> DataFrame:
     return e.join(_law(catalog).select("gsn", normalize_name(F.col("abbrev")).alias("k")), "k").select("entry_id", "gsn", F.lit(0.95).alias("score"))
 
 
-def _parts(text: Column) -> Column:
-    """All distinct substrings of a short text."""
-    n = F.length(text)
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(text, i, k)))))
+def _grams(text: Column, n: int) -> Column:
+    """The distinct runs of ``n`` characters of a text."""
+    return F.array_distinct(F.transform(F.when(F.length(text) >= n, F.sequence(F.lit(0), F.length(text) - n)).otherwise(F.array().cast("array<int>")), lambda i: F.substr(text, i + 1, F.lit(n))))
 
 
 def match_containment(entries: DataFrame, catalog: DataFrame) -> DataFrame:
     """entry_id, gsn, score 0.85 where one normalised abbreviation contains the other.
 
-    An equi-join: the substrings of either side meet the other side's abbreviations, so nothing is compared in vain.
+    An equi-join: a text is found by its first ``GRAM`` characters (all of a shorter one), which are among the runs of
+    as many characters of the text that contains it; so a text has keys in proportion to its length.
     """
     e = _entry(entries).select("entry_id", normalize_name(F.col("index_abbrev")).alias("a")).where("a != ''")
     c = _law(catalog).select("gsn", normalize_name(F.col("abbrev")).alias("b")).where("b != ''")
-    longer = e.join(c.select("gsn", F.explode(_parts(F.col("b"))).alias("a")), "a").select("entry_id", "gsn")
-    shorter = e.select("entry_id", F.explode(_parts(F.col("a"))).alias("b")).join(c, "b").select("entry_id", "gsn")
-    return longer.unionByName(shorter).distinct().withColumn("score", F.lit(0.85))
 
+    def starts(text: str) -> Column:
+        return F.left(text, F.lit(GRAM)).alias("key")
+
+    def runs(text: str) -> Column:
+        return F.explode(F.concat(*(_grams(F.col(text), n) for n in range(1, GRAM + 1)))).alias("key")
+
+    longer = e.select("*", starts("a")).join(c.select("*", runs("b")), "key").where(F.col("b").contains(F.col("a")))
+    shorter = e.select("*", runs("a")).join(c.select("*", starts("b")), "key").where(F.col("a").contains(F.col("b")))
+    return longer.select("entry_id", "gsn").unionByName(shorter.select("entry_id", "gsn")).distinct().withColumn("score", F.lit(0.85))
+
+
+def common_words(names: DataFrame, name: str, share: float = COMMON) -> list[str]:
+    """The words in more than ``share`` of the names; at most words-per-name / share of them."""
+    words = names.select(F.explode(F.array_distinct(F.split(name, " "))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    total = names.agg(F.count("*").alias("total"))
+    return sorted(r.w for r in words.crossJoin(F.broadcast(total)).where(F.col("n") > share * F.col("total")).select("w").collect())  # total is one row
 
-def blocked_pairs(entries: DataFrame, catalog: DataFrame) -> DataFrame:
-    """entry_id, gsn, a, b: pairs of normalised names where one of the entry's first two words begins the other."""
+
+def blocked_pairs(entries: DataFrame, catalog: DataFrame, least: float = 0.0) -> DataFrame:
+    """entry_id, gsn, a, b: pairs of normalised names where one of the entry's first two words begins the other.
+
+    With ``least`` only pairs that may have so large a share of common words: two sets of words with that share have a
+    word in common among the first of each in any order (all but as many as they must share), so these words are part
+    of the key. The order puts common words last, so that a first word that many names have does not make the block.
+    """
     e = _entry(entries).select("entry_id", normalize_name(F.col("index_name")).alias("a")).where("a != ''")
-    e = e.withColumn("w", F.explode(F.array_distinct(F.slice(F.split("a", " "), 1, 2))))
-    c = _law(catalog).select("gsn", normalize_name(F.col("name")).alias("b")).where("b != ''").withColumn("w", F.substring_index("b", " ", 1))
-    return e.join(c, "w").select("entry_id", "gsn", "a", "b").distinct()
+    c = _law(catalog).select("gsn", normalize_name(F.col("name")).alias("b")).where("b != ''")
+    firsts, first = F.array_distinct(F.slice(F.split("a", " "), 1, 2)), F.substring_index("b", " ", 1)
+    if least > 0:
+        common = F.array(*map(F.lit, common_words(c, "b"))).cast("array<string>")
+
+        def leading(text: str) -> Column:
+            words = F.array_distinct(F.split(text, " "))
+            order = F.array_sort(F.transform(words, lambda w: F.struct(F.array_contains(common, w).alias("c"), F.xxhash64(w).alias("h"), w.alias("w"))))
+            return F.transform(F.slice(order, F.lit(1), (F.size(words) - F.ceil(F.size(words) * least - 1e-9) + 1).cast("int")), lambda x: x["w"])
+
+        e, c = e.withColumn("p", F.explode(leading("a"))), c.withColumn("p", F.explode(leading("b")))
+    e, c = e.withColumn("w", F.explode(firsts)), c.withColumn("w", first)
+    return e.join(c, ["w", *(["p"] if least > 0 else [])]).select("entry_id", "gsn", "a", "b").distinct()
 
 
 def match_words(entries: DataFrame, catalog: DataFrame, min_score: float = 0.2) -> DataFrame:
     """entry_id, gsn, score: blocked pairs by common words alone, the best of each entry and those within 0.02 of it."""
-    return _best(blocked_pairs(entries, catalog).withColumn("score", jaccard_words(F.col("a"), F.col("b"))), min_score)
+    return _best(blocked_pairs(entries, catalog, min_score).withColumn("score", jaccard_words(F.col("a"), F.col("b"))), min_score)
 
 
 def _best(pairs: DataFrame, min_score: float) -> DataFrame:
@@ -94,7 +128,8 @@ def _best(pairs: DataFrame, min_score: float) -> DataFrame:
 def match_blocked_fuzzy(entries: DataFrame, catalog: DataFrame, min_score: float = 0.6) -> DataFrame:
     """entry_id, gsn, score: six parts common words, four parts matching characters."""
     # characters add 0.4 at most: pairs whose common words can't make up for the rest never reach Python
-    p = blocked_pairs(entries, catalog).withColumn("words", jaccard_words(F.col("a"), F.col("b"))).where(0.6 * F.col("words") + 0.4 >= min_score)
+    least = max(0.0, (min_score - 0.4) / 0.6)
+    p = blocked_pairs(entries, catalog, least).withColumn("words", jaccard_words(F.col("a"), F.col("b"))).where(F.col("words") >= least - 1e-9)
     p = p.withColumn("ratio", matching_ratio("a", "b"))
     score = F.when(F.col("a") == F.col("b"), 1.0).otherwise(0.6 * F.col("words") + 0.4 * F.col("ratio"))
     return _best(p.withColumn("score", score), min_score)

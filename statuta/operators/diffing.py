@@ -16,11 +16,13 @@ def diff_sections(old: DataFrame, new: DataFrame, by: list[str], section_id: str
     """
     o = old.select(*by, "section_id", F.col("heading").alias("old_heading"), F.col("body").alias("old_body"), F.col("section_type").alias("old_type"), F.lit(True).alias("in_old"))
     n = new.select(*by, "section_id", F.col("heading").alias("new_heading"), F.col("body").alias("new_body"), F.col("section_type").alias("new_type"), F.lit(True).alias("in_new"))
-    both = o.join(n, [*by, "section_id"], "full_outer")
+    # filters go below the join, which could not pass them down itself
     if section_id is not None:
-        both = both.where(F.col("section_id") == section_id)
+        o, n = (x.where(F.col("section_id") == section_id) for x in (o, n))
     if section_type is not None:
-        both = both.where((F.col("old_type") == section_type) | (F.col("new_type") == section_type))
+        ids = o.where(F.col("old_type") == section_type).select(*by, "section_id").union(n.where(F.col("new_type") == section_type).select(*by, "section_id")).distinct()
+        o, n = (x.join(ids, [*by, "section_id"], "left_semi") for x in (o, n))
+    both = o.join(n, [*by, "section_id"], "full_outer")
     before, after = (F.coalesce(c, F.lit("")) for c in ("old_body", "new_body"))
     kind = F.when(before == after, "unchanged").when(before == "", "added").when(after == "", "removed").otherwise("changed")
     heading = F.when(F.col("in_new"), F.coalesce("new_heading", F.lit(""))).otherwise(F.coalesce("old_heading", "section_id"))

@@ -16,6 +16,8 @@ VERSION = ["abbrev", "fassung_vom"]
 # thresholds of the reconstruction: a version with FULL sections stands alone; one with ENOUGH of them, less than
 # OVERLAP of which are known from the first version, stands alone as well
 FULL, ENOUGH, OVERLAP = 30, 5, 0.4
+#: Slices of a law's sections in joins by law.
+SLICES = 16
 
 
 def build_snapshot(rows: DataFrame) -> DataFrame:
@@ -25,13 +27,26 @@ def build_snapshot(rows: DataFrame) -> DataFrame:
     return kept.select(*VERSION, "section_id", "s.*")
 
 
-def versions_of(snapshot: DataFrame) -> DataFrame:
-    """abbrev, fassung_vom, seq of each version."""
-    return snapshot.select(*VERSION).distinct().withColumn("seq", F.row_number().over(Window.partitionBy("abbrev").orderBy("fassung_vom")))
+def versions_of(rows: DataFrame) -> DataFrame:
+    """abbrev, fassung_vom, seq of each version of a snapshot or of section rows with a body; only the keys are moved."""
+    if "body" in rows.columns:
+        rows = rows.where(F.col("abbrev").isNotNull() & F.col("fassung_vom").isNotNull() & F.col("section_id").isNotNull() & (F.col("body") != ""))
+    return rows.select(*VERSION).distinct().withColumn("seq", F.row_number().over(Window.partitionBy("abbrev").orderBy("fassung_vom")))
 
 
-def with_seq(snapshot: DataFrame) -> DataFrame:
-    return snapshot.join(versions_of(snapshot), VERSION)
+def with_seq(snapshot: DataFrame, versions: DataFrame) -> DataFrame:
+    return snapshot.join(versions, VERSION)
+
+
+def short_id(column: str | Column) -> Column:
+    """The first eight characters of a version's id."""
+    return F.left(F.col(column) if isinstance(column, str) else column, F.lit(8))
+
+
+def author_date(fassung_vom: Column) -> Column:
+    """The date a version is filed under; null for dates outside of what a version store can hold."""
+    # fixed values: the first date and the one after the last
+    return F.when((fassung_vom >= "1970-01-01") & (fassung_vom < "2100-01-01"), fassung_vom)
 
 
 def group_by_date_first(commits: DataFrame) -> DataFrame:
@@ -97,20 +112,40 @@ def overlay_rules(sections: DataFrame) -> DataFrame:
     return counted.select(*VERSION, "seq", rule.alias("rule"), ((rule == "overlay") & poor_first & F.col("fuller")).alias("drop_first"))
 
 
+def by_law(rows: DataFrame, small: DataFrame) -> DataFrame:
+    """``rows`` (with section_id) joined by abbrev with a table of few rows a law, which is repeated for slices of a law's sections.
+
+    So a law that holds a large part of all rows is joined in many tasks.
+    """
+    slices = small.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    return rows.withColumn("_slice", F.pmod(F.xxhash64("section_id"), F.lit(SLICES)).cast("int")).join(slices, ["abbrev", "_slice"]).drop("_slice")
+
+
 def as_of_all(sections: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """The reconstructed sections of every version (or those in ``targets``: abbrev, seq).
 
     abbrev, fassung_vom, seq, section_id, heading, body, written_seq (the version that wrote the section). Each
-    section's writes become intervals of versions once; a version is an equi-join by law with the intervals around it.
+    section's writes become intervals of versions; an interval gives a row for each version in it, and these meet the
+    versions' rules by law and version.
     """
     rules = overlay_rules(sections)
     if targets is not None:
         rules = rules.join(targets.select("abbrev", "seq"), ["abbrev", "seq"], "left_semi").select(*VERSION, "seq", "rule", "drop_first")
     cols = ["section_id", "heading", "body"]
     own = rules.where("rule = 'own'").join(sections.select("abbrev", "seq", *cols), ["abbrev", "seq"]).select(*VERSION, "seq", *cols, F.col("seq").alias("written_seq"))
-    first = rules.where("rule = 'first'").join(sections.where("seq = 1").select("abbrev", *cols), "abbrev").select(*VERSION, "seq", *cols, F.lit(1).alias("written_seq"))
+    first = by_law(sections.where("seq = 1").select("abbrev", *cols), rules.where("rule = 'first'").select(*VERSION, "seq")).select(*VERSION, "seq", *cols, F.lit(1).alias("written_seq"))
     spans = sections.select("abbrev", F.col("seq").alias("written_seq"), *cols, F.lead("seq").over(Window.partitionBy("abbrev", "section_id").orderBy("seq")).alias("until"))
-    overlay = rules.where("rule = 'overlay'").join(spans, "abbrev").where("written_seq <= seq and (until is null or seq < until) and not (drop_first and written_seq = 1)")
+    wanted = rules.where("rule = 'overlay'")
+    if targets is None:
+        last = wanted.groupBy("abbrev").agg(F.max("seq").alias("_last"))
+        inside = F.sequence("written_seq", F.coalesce(F.col("until") - 1, F.greatest("_last", "written_seq")))
+        held = by_law(spans, last)
+    else:  # few versions a law
+        asked = wanted.groupBy("abbrev").agg(F.collect_list("seq").alias("_asked"))
+        inside = F.filter("_asked", lambda x: (x >= F.col("written_seq")) & (F.col("until").isNull() | (x < F.col("until"))))
+        held = by_law(spans, asked)
+    held = held.select("abbrev", *cols, "written_seq", F.explode(inside).alias("seq"))
+    overlay = held.join(wanted.select(*VERSION, "seq", "drop_first"), ["abbrev", "seq"]).where("not (drop_first and written_seq = 1)")
     return own.unionByName(first).unionByName(overlay.select(*VERSION, "seq", *cols, "written_seq"))
 
 

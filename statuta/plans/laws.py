@@ -42,7 +42,16 @@ def snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 def normalized(spark: SparkSession, d: str) -> DataFrame:
     """Normalised sections of every version, stored, as most queries read them several times."""
-    return stored(ver.normalize_sections(ver.with_seq(snapshot(spark, d))))
+    return stored(ver.normalize_sections(numbered(spark, d)))
+
+
+def version_table(spark: SparkSession, d: str) -> DataFrame:
+    """abbrev, fassung_vom, seq of every version, from the keys of the rows."""
+    return ver.versions_of(section_rows(spark, d))
+
+
+def numbered(spark: SparkSession, d: str) -> DataFrame:
+    return ver.with_seq(snapshot(spark, d), version_table(spark, d))
 
 
 def newest(sections: DataFrame) -> DataFrame:
@@ -50,9 +59,9 @@ def newest(sections: DataFrame) -> DataFrame:
     return sections.withColumn("_last", last).where("fassung_vom = _last").drop("_last")
 
 
-def consecutive(sections: DataFrame) -> tuple[DataFrame, DataFrame]:
+def consecutive(sections: DataFrame, versions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Old and new sides of all consecutive versions, both by abbrev and fassung_vom of the new one."""
-    dates = ver.versions_of(sections).withColumn("next_date", F.lead("fassung_vom").over(Window.partitionBy("abbrev").orderBy("seq")))
+    dates = versions.select(*ver.VERSION, "seq").withColumn("next_date", F.lead("fassung_vom").over(Window.partitionBy("abbrev").orderBy("seq")))
     rows = sections.select("abbrev", "fassung_vom", "section_id", "heading", "body", "section_type").join(dates, ver.VERSION)
     old = rows.where("next_date is not null").drop("fassung_vom", "seq").withColumnRenamed("next_date", "fassung_vom")
     return old, rows.where("seq > 1").drop("seq", "next_date")
@@ -185,7 +194,7 @@ def snapshot_scan(spark, d):
 
 @query(f"with {VERS} select abbrev, fassung_vom, seq, cast(row_number() over (partition by abbrev order by seq desc) as integer) as newest_first from vers")
 def version_log(spark, d):
-    v = ver.versions_of(snapshot(spark, d))
+    v = version_table(spark, d)
     return v.withColumn("newest_first", F.row_number().over(Window.partitionBy("abbrev").orderBy(F.desc("seq"))))
 
 
@@ -252,7 +261,7 @@ def resolve_version(spark, d):
 
 @query(f"with {VERS} select abbrev, coalesce(max(fassung_vom) filter (fassung_vom <= '{TODAY}'), max(fassung_vom)) as fassung_vom from vers group by abbrev")
 def newest_effective(spark, d):
-    return ver.newest_effective(ver.versions_of(snapshot(spark, d)), TODAY)
+    return ver.newest_effective(version_table(spark, d), TODAY)
 
 
 @query(f"with {SNAP} select abbrev, fassung_vom, section_id, heading, body, section_type, arrival from snap")
@@ -269,7 +278,7 @@ def group_by_date_first(spark, d):
   select v.abbrev, v.fassung_vom, v.seq, count(*) as sections, left(coalesce(max(f.aenderung), ''), 120) as aenderung from vers v join snap using (abbrev, fassung_vom) left join first f on f.gsn = v.abbrev and f.fassung_vom = v.fassung_vom group by all""")
 def build_history(spark, d):
     """Every version with its number, its sections and the amendment that brought it."""
-    counted = ver.with_seq(snapshot(spark, d)).groupBy(*ver.VERSION, "seq").agg(F.count("*").alias("sections"))
+    counted = numbered(spark, d).groupBy(*ver.VERSION, "seq").agg(F.count("*").alias("sections"))
     first = ver.group_by_date_first(table(spark, d, "law_versions")).select(F.col("gsn").alias("abbrev"), "fassung_vom", "aenderung")
     return counted.join(first, ver.VERSION, "left").withColumn("aenderung", F.left(F.coalesce("aenderung", F.lit("")), F.lit(120)))
 
@@ -286,19 +295,19 @@ def catalog_dedup(spark, d):
 
 @query(f"with {VERS} select * from vers")
 def version_seq(spark, d):
-    return ver.versions_of(snapshot(spark, d))
+    return version_table(spark, d)
 
 
 @query(f"with {VERS} select abbrev, fassung_vom from vers where seq = 1")
 def first_version(spark, d):
-    return ver.versions_of(snapshot(spark, d)).where("seq = 1").select("abbrev", "fassung_vom")
+    return version_table(spark, d).where("seq = 1").select("abbrev", "fassung_vom")
 
 
 # --- differences
 
 
 def _diff(spark, d, **only):
-    return diffing.diff_sections(*consecutive(snapshot(spark, d)), ver.VERSION, **only)
+    return diffing.diff_sections(*consecutive(snapshot(spark, d), version_table(spark, d)), ver.VERSION, **only)
 
 
 @query(f"with {DIFF} select abbrev, fassung_vom, section_id, heading, old_body, new_body, change_kind from diff")
@@ -350,17 +359,17 @@ def diff_paragraph_stats(spark, d):
 def diff_asof(spark, d):
     """All consecutive versions as reconstructed, with display headings."""
     full = stored(ver.as_of_all(normalized(spark, d)).withColumn("section_type", F.lit(None).cast("string")))
-    return diffing.diff_as_shown(*consecutive(full), ver.VERSION)
+    return diffing.diff_as_shown(*consecutive(full, full.select(*ver.VERSION, "seq").distinct()), ver.VERSION)
 
 
 @query(f"with {RULES} select abbrev, fassung_vom, common, proper, common / nullif(proper, 0) as overlap from cnt")
 def key_overlap(spark, d):
     """How many proper ids of each version the first version has as well."""
-    s = normalized(spark, d).where(ver.is_proper(F.col("section_id")))
-    first = s.where("seq = 1").select("abbrev", "section_id", F.lit(1).alias("known"))
-    all_ = normalized(spark, d).select(*ver.VERSION).distinct()
-    out = s.join(first, ["abbrev", "section_id"], "left").groupBy(*ver.VERSION).agg(F.count("known").alias("common"), F.count("*").alias("proper"))
-    return all_.join(out, ver.VERSION, "left").fillna(0, ["common", "proper"]).withColumn("overlap", F.try_divide("common", "proper"))
+    s = normalized(spark, d)
+    proper = ver.is_proper(F.col("section_id"))
+    first = s.where("seq = 1").where(proper).select("abbrev", "section_id", F.lit(1).alias("known"))
+    out = s.join(first, ["abbrev", "section_id"], "left").groupBy(*ver.VERSION).agg(F.count("known").alias("common"), F.count_if(proper).alias("proper"))
+    return out.withColumn("overlap", F.try_divide("common", "proper"))
 
 
 @query(f"with {ASOF} select abbrev, fassung_vom, section_id, heading, body from recon qualify seq = max(seq) over (partition by abbrev)")
@@ -542,7 +551,7 @@ def heading_quality(spark, d):
 
 @query(f"with {NORM} select abbrev, fassung_vom, seq, section_id, heading, body, section_type, arrival from norm")
 def normalize_sections(spark, d):
-    return ver.normalize_sections(ver.with_seq(snapshot(spark, d)))
+    return ver.normalize_sections(numbered(spark, d))
 
 
 @query("select * from (values ('I', 1), ('IV', 4), ('IX', 9), ('XIV', 14), ('XL', 40), ('MCMXC', 1990), ('IIII', 4), ('iv', 4), ('ABC', null), ('', 0)) v(roman, value)")
