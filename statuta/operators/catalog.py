@@ -21,6 +21,12 @@ def deduplicated(catalog: DataFrame) -> DataFrame:
     return kept.select("gsn", "c.*")
 
 
+def deduplicated_by_page(catalog: DataFrame, page: Column) -> DataFrame:
+    """One row a gsn as a crawl by pages keeps it: of the last page that has it, the first row. gsn, name, abbrev, typ."""
+    kept = catalog.where("gsn is not null").groupBy("gsn").agg(F.max_by(F.struct("name", "abbrev", "typ"), F.struct(page.alias("page"), -F.col("cat_id"))).alias("c"))
+    return kept.select("gsn", "c.*")
+
+
 def first_gsn_of_abbrev(catalog: DataFrame) -> DataFrame:
     """abbrev, gsn: of laws with one abbreviation the first scanned. Null and empty abbreviations are left out."""
     return catalog.where("abbrev != ''").groupBy("abbrev").agg(F.min_by("gsn", "cat_id").alias("gsn"))

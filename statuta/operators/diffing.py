@@ -54,7 +54,7 @@ def diff_summary(diff: DataFrame, by: list[str]) -> DataFrame:
 def diff_json(diff: DataFrame, by: list[str]) -> DataFrame:
     """by, json: the changed sections of a difference as one JSON array, ordered by id."""
     entry = F.struct("section_id", "heading", "old_body", "new_body")
-    return diff.where("change_kind != 'unchanged'").groupBy(*by).agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("json"))
+    return diff.where("change_kind != 'unchanged'").groupBy(*by).agg(F.to_json(F.array_sort(F.collect_list(entry)), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def diff_plain_lines(diff: DataFrame, by: list[str]) -> DataFrame:

@@ -98,6 +98,78 @@ def warning_categories(found: DataFrame) -> DataFrame:
     return found.where("severity = 'WARNING'").join(mild, "abbrev", "left_semi").groupBy("check").agg(F.countDistinct("abbrev").alias("n_laws"))
 
 
+def _listed(df: DataFrame, check: str, order: Column, text: Column, most: int) -> DataFrame:
+    """BY, check, n and the first ``most`` texts by ``order`` of each version's rows. Only so many are kept while rows are gathered."""
+    ranked = df.select(*BY, order.alias("_o"), text.alias("_t")).withColumn("_n", F.count("*").over(Window.partitionBy(*BY))).withColumn("_k", F.row_number().over(Window.partitionBy(*BY).orderBy("_o", "_t")))
+    kept = ranked.where(F.col("_k") <= most).groupBy(*BY).agg(F.max("_n").alias("n"), F.array_sort(F.collect_list(F.struct("_k", "_t"))).alias("l"))
+    return kept.select(*BY, F.lit(check).alias("check"), "n", F.transform("l", lambda x: x["_t"]).alias("listed"))
+
+
+def details(sections: DataFrame) -> DataFrame:
+    """BY, check, n, listed: what breaks each rule in words, the first five (three for the order) in order of arrival."""
+    sid = F.col("section_id")
+    short, wrong = short_body(F.col("body")), malformed(sid)
+    pairs = lambda text: F.concat(sid, F.lit(": "), text)
+    w = Window.partitionBy(*BY)
+    placed = sections.select(*BY, "section_id", F.row_number().over(w.orderBy("arrival")).alias("at"), F.row_number().over(w.orderBy(order_key(sid), "arrival")).alias("due"))
+    expected = placed.select(*BY, F.col("due").alias("at"), sid.alias("expected"))
+    out_of_place = placed.join(expected, [*BY, "at"]).where("section_id != expected")
+    order_text = F.concat(F.lit("pos "), (F.col("at") - 1).cast("string"), F.lit(": "), sid, F.lit(" should be "), F.col("expected"))
+    gap_text = F.concat(F.lit("§ "), F.col("from_no").cast("string"), F.lit(" → § "), F.col("to_no").cast("string"), F.lit(" (gap of "), (F.col("to_no") - F.col("from_no")).cast("string"), F.lit(")"))
+    twice = sections.groupBy(*BY, "section_id").agg(F.count("*").alias("times"), F.min("arrival").alias("arrival")).where("times > 1")
+    return (
+        _listed(sections.where(short.isNotNull()), "short_bodies", F.col("arrival"), pairs(short), 5)
+        .unionByName(_listed(sections.where(wrong.isNotNull()), "malformed_ids", F.col("arrival"), pairs(wrong), 5))
+        .unionByName(_listed(gaps(sections), "gaps", F.col("from_no"), gap_text, 5))
+        .unionByName(_listed(twice, "duplicates", F.col("arrival"), sid, 5))
+        .unionByName(_listed(out_of_place, "sort_order", F.col("at"), order_text, 3))
+    )
+
+
+def law_issues(sections: DataFrame, commits: DataFrame, diffs: DataFrame) -> DataFrame:
+    """abbrev, severity, check, n: rules on a law as a whole.
+
+    ``commits``: gsn, fassung_vom, message, committed_at. ``diffs``: abbrev, section_id, old_body, new_body,
+    change_kind between a law's first and last version. Rules: api_error (committed, but no sections at all),
+    git_error (sections, but never committed), missing_fassung and empty_fassung (no sections, or none with a body, at
+    the last committed date), StF_empty and latest_empty (none at the first or last committed date), commit_messages,
+    empty_diff (nothing to compare), diff_empty_body and diff_section_n (among the first three changed sections).
+    """
+    rows = sections.where("abbrev is not null and fassung_vom is not null")
+    per = rows.groupBy(*BY).agg(F.count("*").alias("rows"), F.count_if(strip(F.coalesce("body", F.lit(""))) != "").alias("filled"))
+    dated = commits.where("gsn is not null").groupBy(F.col("gsn").alias("abbrev")).agg(F.min("fassung_vom").alias("first"), F.max("fassung_vom").alias("last"))
+    laws = per.groupBy("abbrev").agg(F.sum("rows").alias("rows"), F.count("*").alias("versions"))
+    at = lambda which: per.select("abbrev", F.col("fassung_vom").alias(which), F.col("rows").alias(f"{which}_rows"), F.col("filled").alias(f"{which}_filled"))
+    known = dated.withColumn("committed", F.lit(True)).join(laws, "abbrev", "full_outer").join(at("first"), ["abbrev", "first"], "left").join(at("last"), ["abbrev", "last"], "left")
+    none = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
+    has = F.col("committed") & F.col("rows").isNotNull()
+    one = lambda when, severity, check: F.when(when, F.struct(F.lit(severity).alias("severity"), F.lit(check).alias("check"), F.lit(1).cast("long").alias("n")))
+    found = F.array_compact(F.array(
+        one(F.col("committed") & F.col("rows").isNull(), "CRITICAL", "api_error"),
+        one(F.col("committed").isNull(), "CRITICAL", "git_error"),
+        one(has & none("last_rows"), "CRITICAL", "missing_fassung"),
+        one(has & ~none("last_rows") & none("last_filled"), "CRITICAL", "empty_fassung"),
+        one(has & none("first_rows"), "CRITICAL", "StF_empty"),
+        one(has & none("last_rows") & (F.col("first") != F.col("last")), "CRITICAL", "latest_empty"),
+    ))
+    simple = known.select("abbrev", F.explode(found).alias("i")).select("abbrev", "i.*")
+    messages = undated(commits.where("gsn is not null")).where("flagged").select(F.col("gsn").alias("abbrev"), F.lit("WARNING").alias("severity"), F.lit("commit_messages").alias("check"), F.col("n_undated").alias("n"))
+    compared = diffs.groupBy("abbrev").agg(F.count("*").alias("compared"))
+    nothing = laws.where("versions > 1").join(compared, "abbrev", "left").where("compared is null").select("abbrev", F.lit("WARNING").alias("severity"), F.lit("empty_diff").alias("check"), F.lit(1).cast("long").alias("n"))
+    place = F.row_number().over(Window.partitionBy("abbrev").orderBy("section_id"))
+    spot = diffs.where("change_kind != 'unchanged'").withColumn("_k", place).where("_k <= 3")
+    blank = (F.coalesce("old_body", F.lit("")) == "") & (F.coalesce("new_body", F.lit("")) == "")
+    spots = spot.groupBy("abbrev").agg(F.count_if(blank).alias("diff_empty_body"), F.count_if(F.col("section_id").startswith("Section-")).alias("diff_section_n"))
+    spots = spots.unpivot("abbrev", ["diff_empty_body", "diff_section_n"], "check", "n").where("n > 0").select("abbrev", F.lit("WARNING").alias("severity"), "check", "n")
+    return simple.unionByName(messages).unionByName(nothing).unionByName(spots)
+
+
+def histogram(found: DataFrame, laws: DataFrame) -> DataFrame:
+    """severity, n_laws: how many laws have each worst severity; OK for laws without an issue."""
+    worst = laws.select("abbrev").distinct().join(severities(found), "abbrev", "left")
+    return worst.groupBy(F.coalesce("severity", F.lit("OK")).alias("severity")).agg(F.count("*").alias("n_laws"))
+
+
 def kind_counts(sections: DataFrame) -> DataFrame:
     """BY, total, proper, percent_proper, hashed, paragraphs, articles, annexes, mixed of each version."""
     sid = F.col("section_id")
@@ -108,7 +180,10 @@ def kind_counts(sections: DataFrame) -> DataFrame:
 
 
 def first_violations(sections: DataFrame) -> DataFrame:
-    """BY, prefix, position, expected, actual: the first section of each kind that is not in its place by number."""
+    """BY, prefix, position, expected, actual, kind: the first section of each kind that is not in its place by number.
+
+    kind is reorder where the expected section stands elsewhere in the version, else missing.
+    """
     sid = F.col("section_id")
     prefix = F.regexp_extract(sid, "^(§|Art|Anlage)_", 1)
     no = F.regexp_extract(sid, r"^(?:§|Art|Anlage)_(\d+)", 1)
@@ -118,4 +193,5 @@ def first_violations(sections: DataFrame) -> DataFrame:
     expected = placed.select(*BY, "prefix", F.col("due").alias("position"), F.col("section_id").alias("expected"))
     wrong = placed.join(expected, [*BY, "prefix", "position"]).where("section_id != expected")
     first = wrong.groupBy(*BY, "prefix").agg(F.min_by(F.struct("position", "expected", F.col("section_id").alias("actual")), "position").alias("f"))
-    return first.select(*BY, "prefix", "f.*")
+    there = placed.select(*BY, "prefix", F.col("section_id").alias("expected"), F.lit("reorder").alias("kind")).distinct()
+    return first.select(*BY, "prefix", "f.*").join(there, [*BY, "prefix", "expected"], "left").fillna("missing", ["kind"]).select(*BY, "prefix", "position", "expected", "actual", "kind")

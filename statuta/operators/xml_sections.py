@@ -175,3 +175,25 @@ def unknown_tags(df: DataFrame, rec_id: str = "xml_id", xml: str = "nutzdaten")
             yield pa.RecordBatch.from_arrays([pa.array(tags, pa.string())], names=["tag"])
 
     return df.where(F.col(xml) != "").select(F.col(xml).alias("xml")).mapInArrow(run, "tag string").groupBy("tag").agg(F.count("*").alias("n_records"))
+
+
+def newest_documents(records: DataFrame) -> DataFrame:
+    """One row a nor_id of raw records (xml_id, nor_id, apa, nutzdaten, abgerufen_am): the one fetched last; null nor_id are left out."""
+    fetched = F.struct(F.col("abgerufen_am"), F.col("xml_id"))
+    kept = records.where("nor_id is not null").groupBy("nor_id").agg(F.max_by(F.struct("xml_id", "apa", "nutzdaten"), fetched).alias("d"))
+    return kept.select("nor_id", "d.*")
+
+
+def sections_of_index(index: DataFrame, records: DataFrame) -> DataFrame:
+    """abbrev, fassung_vom, nor_id, arrival, outcome and the parsed section of every document a version's index names.
+
+    ``index``: abbrev, fassung_vom, nor_id, arrival. Each document is parsed once, however many versions name it; a
+    document that was never fetched has the outcome "not fetched". The rows with outcome "section" and a body make the
+    version (``versions.build_snapshot``), the others are the errors of its run.
+    """
+    documents = newest_documents(records)
+    parsed = documents.select("nor_id", "xml_id").join(outcomes(documents), F.col("xml_id") == F.col("rec_id")).select("nor_id", "xml_id", "outcome")
+    sections = parse_sections(documents).withColumnRenamed("rec_id", "xml_id")
+    full = parsed.join(sections, "xml_id", "left")
+    rows = index.where("nor_id is not null").join(full, "nor_id", "left")
+    return rows.select("abbrev", "fassung_vom", "nor_id", "arrival", F.coalesce("outcome", F.lit("not fetched")).alias("outcome"), "section_id", "heading", "body", "body_blocks", "section_type")

@@ -13,7 +13,10 @@ from ..functions import sequences as seq
 from ..operators import catalog as cat
 from ..operators import diffing, quality
 from ..operators import versions as ver
-from ..operators.xml_sections import parse_sections, unknown_tags
+from ..operators.history import DeltaStore
+from ..operators.ranking import with_place
+from ..operators.snapshot_diff import changes
+from ..operators.xml_sections import outcomes, parse_sections, sections_of_index, unknown_tags
 from ..sources.stored import stored
 from ..sources.tables import table
 
@@ -225,10 +228,11 @@ def json_snapshot_explode(spark, d):
     return back.select(*ver.VERSION, "section_id", "s.body")
 
 
-@query("select distinct nor_id from fassung where nor_id is not null and nor_id not in (select nor_id from nor_xml where nor_id is not null)")
+@query("select distinct nor_id from fassung where nor_id is not null and nor_id not in (select nor_id from nor_xml where nor_id is not null and nutzdaten <> '')")
 def cache_miss_anti(spark, d):
-    """Provisions that sections name and that have not been fetched."""
-    return table(spark, d, "fassung").where("nor_id is not null").select("nor_id").distinct().join(table(spark, d, "nor_xml").select("nor_id"), "nor_id", "left_anti")
+    """Provisions that sections name and that have not been fetched with content."""
+    held = table(spark, d, "nor_xml").where("nutzdaten != ''").select("nor_id")
+    return table(spark, d, "fassung").where("nor_id is not null").select("nor_id").distinct().join(held, "nor_id", "left_anti")
 
 
 @query("select distinct gsn from law_catalog_merged where gsn is not null and gsn not in (select gsn from law_versions where gsn is not null)")
@@ -331,7 +335,7 @@ def diff_summary(spark, d):
     return diffing.diff_summary(_diff(spark, d), ver.VERSION)
 
 
-@query()
+@query(f"""with {DIFF} select abbrev, fassung_vom, cast(to_json(list({{'section_id': section_id, 'heading': heading, 'old_body': old_body, 'new_body': new_body}} order by section_id)) as varchar) as json from diff where change_kind <> 'unchanged' group by abbrev, fassung_vom""")
 def diff_json(spark, d):
     return diffing.diff_json(_diff(spark, d), ver.VERSION)
 
@@ -444,6 +448,18 @@ def max_sections(spark, d):
     return snapshot(spark, d).groupBy(*ver.VERSION).agg(F.count("*").alias("n")).groupBy("abbrev").agg(F.max("n").alias("sections"))
 
 
+@query("select gsn, name, abbrev, typ from law_catalog_merged where gsn is not null qualify row_number() over (partition by gsn order by cat_id // 100 desc, cat_id) = 1")
+def catalog_pages(spark, d):
+    """The catalog as a crawl by pages of 100 keeps it."""
+    return cat.deduplicated_by_page(table(spark, d, "law_catalog_merged"), F.floor(F.col("cat_id") / 100))
+
+
+@query("select version_id, left(md5(message), 8) as short_id, case when fassung_vom >= '1970-01-01' and fassung_vom < '2100-01-01' then fassung_vom end as author_date from law_versions")
+def version_ids(spark, d):
+    """Short ids (of a hash of the message) and author dates of all versions."""
+    return table(spark, d, "law_versions").select("version_id", ver.short_id(F.md5(F.col("message").cast("binary"))).alias("short_id"), ver.author_date(F.col("fassung_vom")).alias("author_date"))
+
+
 @query("select typ, count(*) as records, count(*) filter (nutzdaten is null or nutzdaten = '') as empty, count(distinct gsn) as laws from nor_xml group by typ")
 def run_totals(spark, d):
     """Totals of a fetch by type of law."""
@@ -481,18 +497,21 @@ def law_search(spark, d):
     return cat.deduplicated(table(spark, d, "law_catalog_merged")).where(has("abbrev") | has("name")).select("gsn", "name", "abbrev")
 
 
-@query(f"with {VERS}, per as (select abbrev, fassung_vom, count(*) as n from snap group by all), l as (select abbrev, count(*) as versions, arg_max(n, fassung_vom) as sections from per group by abbrev) select abbrev, versions, sections from l where contains(lower(abbrev || ' ' || versions || ' ' || sections), '12')")
+@query(f"with {VERS}, {CATALOG}, per as (select abbrev, fassung_vom, count(*) as n from snap group by all), l as (select p.abbrev, coalesce({CLEAN.format("max(cat.name)")}, '') as name, count(*) as versions, arg_max(n, fassung_vom) as sections from per p left join cat on cat.gsn = p.abbrev group by p.abbrev) select abbrev, name, versions, sections from l where contains(lower(abbrev || ' ' || name || ' ' || versions || ' ' || sections), 'gesetz 19')")
 def card_search(spark, d):
-    """Laws whose shown text (abbreviation and counts) has a text in it."""
-    return _index(spark, d, snapshot(spark, d)).where(F.lower(F.concat_ws(" ", "abbrev", "versions", "sections")).contains("12")).select("abbrev", "versions", "sections")
+    """Laws whose shown text (abbreviation, name and counts) has a text in it."""
+    return law_index(spark, d).where(F.lower(F.concat_ws(" ", "abbrev", "name", "versions", "sections")).contains("gesetz 19")).select("abbrev", "name", "versions", "sections")
 
 
 @query(f"""with {VERS}, per as (select abbrev, fassung_vom, count(*) as n from snap group by all), l as (select abbrev, count(*) as versions, arg_max(n, fassung_vom) as sections from per group by abbrev)
   select abbrev, cast(row_number() over (order by abbrev) as integer) as by_name, cast(row_number() over (order by versions desc, abbrev) as integer) as by_versions, cast(row_number() over (order by sections desc, abbrev) as integer) as by_sections from l""")
 def law_sort_modes(spark, d):
-    """The place of each law in three orders; a row a law, so one task can order them."""
-    place = lambda *c: F.row_number().over(Window.orderBy(*c))
-    return _index(spark, d, snapshot(spark, d)).select("abbrev", place("abbrev").alias("by_name"), place(F.desc("versions"), "abbrev").alias("by_versions"), place(F.desc("sections"), "abbrev").alias("by_sections"))
+    """The place of each law in three orders; names in German order."""
+    rows = _index(spark, d, snapshot(spark, d))
+    german = F.collate("abbrev", "de")
+    for name, order in (("by_name", (german,)), ("by_versions", (F.desc("versions"), german)), ("by_sections", (F.desc("sections"), german))):
+        rows = with_place(rows, name, *order)
+    return rows.select("abbrev", "by_name", "by_versions", "by_sections")
 
 
 @query(f"with {NORM}, last as (select * from norm qualify seq = max(seq) over (partition by abbrev)) select abbrev, section_id, cast(row_number() over (partition by abbrev order by {order_sql()}, section_id) as integer) as place from last")
@@ -518,6 +537,20 @@ def derive_section_id(spark, d):
     return x.select("rec_id", t.derive_section_id(F.lit(""), F.lit(""), F.col("heading"), F.col("body")).alias("section_id"))
 
 
+ENTRY = "(?i)^Art(?:ikel)?\\.?\\s*([IVXLCDM\\d]+)"
+ENTRY_BOTH = ENTRY + "\\s*§\\.?\\s*(\\d+[a-z]?)"
+
+
+@query(f"""select xml_id, case when regexp_matches(a, '{ENTRY_BOTH}') then 'Art_' || regexp_extract(a, '{ENTRY_BOTH}', 1) || '_§_' || regexp_extract(a, '{ENTRY_BOTH}', 2) when regexp_matches(a, '{ENTRY}') then 'Art_' || regexp_extract(a, '{ENTRY}', 1)
+  when regexp_matches(a, '(?i)^§\\.?\\s*(\\d+[a-z]?)') then '§_' || regexp_extract(a, '(?i)^§\\.?\\s*(\\d+[a-z]?)', 1) when regexp_matches(s, '{LEAD}\\b') then '§_' || regexp_extract(s, '{LEAD}\\b', 1) when regexp_matches(s, '{ART}\\b') then 'Art_' || regexp_extract(s, '{ART}\\b', 1)
+  else 'Section-' || (cast('0x' || left(md5(''), 8) as bigint) % 10000) end as section_id from (select xml_id, coalesce(apa, '') as a, coalesce(regexp_extract(nutzdaten, '<gldsym[^>]*>([^<]*)</gldsym>', 1), '') as s from nor_xml)""")
+def derive_section_id_entry(spark, d):
+    """Ids by the index entry, else by the first symbol in the XML."""
+    x = table(spark, d, "nor_xml")
+    symbol = F.regexp_extract(F.coalesce("nutzdaten", F.lit("")), "<gldsym[^>]*>([^<]*)</gldsym>", 1)
+    return x.select("xml_id", t.derive_section_id(F.col("apa"), symbol, F.lit(""), F.lit("")).alias("section_id"))
+
+
 @query("""select xml_id, case when contains(a, '§') then 'Paragraf' when regexp_matches(a, '(?i)^Art') then 'Artikel' when contains(a, 'Anlage') then 'Anlage'
   when regexp_matches(h, '(?i)^Art(?:ikel)?\\.?\\s*[IVXLCDM\\d]') then 'Artikel' when starts_with(h, '§') then 'Paragraf' when contains(h, 'Anlage') then 'Anlage' else 'Paragraf' end as section_type from (select xml_id, coalesce(apa, '') as a, coalesce(titel, '') as h from nor_xml)""")
 def derive_section_type(spark, d):
@@ -565,13 +598,12 @@ def normalize_name(spark, d):
     return table(spark, d, "law_catalog_merged").select("cat_id", t.normalize_name(F.col("name")).alias("name"))
 
 
-@query(f"""select e.entry_id, case when a = b then 1.0 when a = '' or b = '' then 0.0 else len(list_intersect(list_distinct(string_split(a, ' ')), list_distinct(string_split(b, ' ')))) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' ')))) end as similarity
-  from (select f.entry_id, {NN.format("coalesce(f.index_name, '')")} as a, {NN.format("coalesce(c.name, '')")} as b from final_gsn_list f join law_catalog_merged c on c.cat_id = f.entry_id) e""")
+@query(f"""with {LAW}, e as (select entry_id, {NN.format("index_name")} as a from ent), l as (select gsn, {NN.format("name")} as b from law)
+  select distinct entry_id, gsn, case when a = b then 1.0 else len(list_intersect(list_distinct(string_split(a, ' ')), list_distinct(string_split(b, ' ')))) / len(list_distinct(list_concat(string_split(a, ' '), string_split(b, ' ')))) end as similarity
+  from (select *, unnest(list_distinct(string_split(a, ' ')[1:2])) as w from e where a <> '') e join (select *, string_split(b, ' ')[1] as w from l where b <> '') l using (w)""")
 def jaccard_words(spark, d):
-    """The common words of register entries and catalog rows of the same number."""
-    n = lambda c: t.normalize_name(F.coalesce(c, F.lit("")))
-    pairs = table(spark, d, "final_gsn_list").join(table(spark, d, "law_catalog_merged"), F.col("entry_id") == F.col("cat_id")).select("entry_id", n("index_name").alias("a"), n("name").alias("b"))
-    return pairs.select("entry_id", t.jaccard_words(F.col("a"), F.col("b")).alias("similarity"))
+    """The common words of every entry and law of one block."""
+    return cat.blocked_pairs(*_registers(spark, d)).select("entry_id", "gsn", t.jaccard_words(F.col("a"), F.col("b")).alias("similarity"))
 
 
 @query("select cat_id, list_max(list_transform(regexp_extract_all(name, '\\b((?:19|20)\\d{2})\\b', 1), lambda y: cast(y as integer))) as year from law_catalog_merged")
@@ -721,6 +753,42 @@ def xml_parse(spark, d):
     return parse_sections(table(spark, d, "nor_xml"))
 
 
+INDEX = "idx as (select gsn as abbrev, fassung_vom, nor_id, rec_id from fassung where nor_id is not null), doc as (select nor_id, nutzdaten from nor_xml where nor_id is not null qualify row_number() over (partition by nor_id order by abgerufen_am desc nulls last, xml_id desc) = 1)"
+
+
+def _index_rows(spark, d):
+    return table(spark, d, "fassung").select(F.col("gsn").alias("abbrev"), "fassung_vom", "nor_id", F.col("rec_id").alias("arrival"))
+
+
+@query()
+def xml_outcomes(spark, d):
+    """What came of parsing each record."""
+    return outcomes(table(spark, d, "nor_xml"))
+
+
+@query()
+def build_fassung_xml(spark, d):
+    """The sections of every version from the documents its index names: the newest fetch of each, empty ones skipped, the longest body of an id."""
+    parsed = sections_of_index(_index_rows(spark, d), table(spark, d, "nor_xml")).where("outcome = 'section'")
+    return ver.build_snapshot(parsed.drop("body_blocks"))
+
+
+@query(f"with {INDEX} select abbrev, fassung_vom, count(*) as documents, count(*) filter (doc.nor_id is null) as not_fetched, count(*) filter (doc.nor_id is not null and coalesce(nutzdaten, '') = '') as without_text from idx left join doc using (nor_id) group by abbrev, fassung_vom")
+def build_fassung_totals(spark, d):
+    """The documents of each version, those never fetched, and those fetched without text."""
+    parsed = sections_of_index(_index_rows(spark, d), table(spark, d, "nor_xml"))
+    empty = stored(table(spark, d, "nor_xml").where("nor_id is not null").groupBy("nor_id").agg(F.max_by(F.coalesce("nutzdaten", F.lit("")), F.struct("abgerufen_am", "xml_id")).alias("x")).where("x = ''").select("nor_id", F.lit(True).alias("blank")))
+    rows = parsed.join(empty, "nor_id", "left")
+    return rows.groupBy("abbrev", "fassung_vom").agg(F.count("*").alias("documents"), F.count_if(F.col("outcome") == "not fetched").alias("not_fetched"), F.count_if("blank").alias("without_text"))
+
+
+@query()
+def build_fassung_errors(spark, d):
+    """The documents of each version that gave no section, with the reason."""
+    parsed = sections_of_index(_index_rows(spark, d), table(spark, d, "nor_xml"))
+    return parsed.where("outcome != 'section'").select("abbrev", "fassung_vom", "nor_id", "outcome").distinct()
+
+
 @query()
 def xml_unknown_tags(spark, d):
     return unknown_tags(table(spark, d, "nor_xml"))
@@ -759,6 +827,12 @@ def qa_gaps(spark, d):
     return quality.gaps(section_rows(spark, d))
 
 
+@query(f"with {QS}, {GAPS.replace('to_no - from_no > 5', 'to_no - from_no > 1')} select * from g")
+def qa_gaps_any(spark, d):
+    """The same for any number left out."""
+    return quality.gaps(section_rows(spark, d), widest=1)
+
+
 @query(f"with {QS}, {ORDER} select * from ooo")
 def qa_sort_order(spark, d):
     return quality.out_of_order(section_rows(spark, d))
@@ -789,6 +863,60 @@ def qa_report(spark, d):
     return quality.issues(section_rows(spark, d))
 
 
+DETAILS = f"""{QS}, {GAPS}, {ORDER},
+ lines as (select abbrev, fassung_vom, 'short_bodies' as "check", 5 as most, arrival as o, section_id || ': ' || {SHORT} as t from q where {SHORT} is not null
+  union all select abbrev, fassung_vom, 'malformed_ids', 5, arrival, section_id || ': ' || {MAL} from q where {MAL} is not null
+  union all select abbrev, fassung_vom, 'gaps', 5, from_no, '§ ' || from_no || ' → § ' || to_no || ' (gap of ' || (to_no - from_no) || ')' from g
+  union all select abbrev, fassung_vom, 'duplicates', 5, min(arrival), section_id from q group by abbrev, fassung_vom, section_id having count(*) > 1
+  union all select a.abbrev, a.fassung_vom, 'sort_order', 3, a.at, 'pos ' || (a.at - 1) || ': ' || a.section_id || ' should be ' || b.section_id from pl a join pl b on a.abbrev = b.abbrev and a.fassung_vom = b.fassung_vom and a.at = b.due where a.section_id <> b.section_id)"""
+
+
+@query(f"""with {DETAILS} select abbrev, fassung_vom, "check", count(*) as n, list(t order by o, t)[1:max(most)] as listed from lines group by abbrev, fassung_vom, "check" """)
+def qa_details(spark, d):
+    """What breaks the rules of each version, the first few in words."""
+    return quality.details(section_rows(spark, d))
+
+
+ENDS = f"""{SNAP}, span as (select abbrev, min(fassung_vom) as a, max(fassung_vom) as b, count(distinct fassung_vom) as versions from snap group by abbrev),
+ o as (select s.* from snap s join span on s.abbrev = span.abbrev and s.fassung_vom = a and a <> b), n as (select s.* from snap s join span on s.abbrev = span.abbrev and s.fassung_vom = b and a <> b),
+ ends as (select coalesce(o.abbrev, n.abbrev) as abbrev, coalesce(o.section_id, n.section_id) as section_id, coalesce(o.body, '') as ob, coalesce(n.body, '') as nb from o full outer join n on o.abbrev = n.abbrev and o.section_id = n.section_id)"""
+LAWS = f"""{ENDS}, per as (select gsn as abbrev, fassung_vom, count(*) as n, count(*) filter ({LEN} > 0) as filled from fassung where gsn is not null and fassung_vom is not null group by all),
+ laws as (select abbrev, count(*) as versions from per group by abbrev), com as (select gsn as abbrev, min(fassung_vom) as a, max(fassung_vom) as b, count(*) as m, count(*) filter (not coalesce(regexp_matches(message, '\\[\\d{{4}}-\\d{{2}}-\\d{{2}}\\]'), false)) as bad from law_versions where gsn is not null group by gsn),
+ spot as (select * from (select *, row_number() over (partition by abbrev order by section_id) as k from ends where ob <> nb) where k <= 3),
+ law_issues as (
+  select abbrev, 'CRITICAL' as severity, 'api_error' as "check", 1 as n from com where abbrev not in (select abbrev from laws)
+  union all select abbrev, 'CRITICAL', 'git_error', 1 from laws where abbrev not in (select abbrev from com)
+  union all select c.abbrev, 'CRITICAL', 'missing_fassung', 1 from com c join laws using (abbrev) left join per p on p.abbrev = c.abbrev and p.fassung_vom = c.b where p.n is null
+  union all select c.abbrev, 'CRITICAL', 'empty_fassung', 1 from com c join per p on p.abbrev = c.abbrev and p.fassung_vom = c.b where p.filled = 0
+  union all select c.abbrev, 'CRITICAL', 'StF_empty', 1 from com c join laws using (abbrev) left join per p on p.abbrev = c.abbrev and p.fassung_vom = c.a where p.n is null
+  union all select c.abbrev, 'CRITICAL', 'latest_empty', 1 from com c join laws using (abbrev) left join per p on p.abbrev = c.abbrev and p.fassung_vom = c.b where p.n is null and c.a <> c.b
+  union all select abbrev, 'WARNING', 'commit_messages', bad from com where m > 1 and bad > 0.1 * m
+  union all select abbrev, 'WARNING', 'empty_diff', 1 from laws where versions > 1 and abbrev not in (select abbrev from ends)
+  union all select abbrev, 'WARNING', 'diff_empty_body', count(*) from spot where ob = '' and nb = '' group by abbrev
+  union all select abbrev, 'WARNING', 'diff_section_n', count(*) from spot where starts_with(section_id, 'Section-') group by abbrev)"""
+
+
+def _first_to_last(spark, d):
+    """The difference between each law's first and last version."""
+    s = snapshot(spark, d)
+    ends = version_table(spark, d).groupBy("abbrev").agg(F.min("fassung_vom").alias("first"), F.max("fassung_vom").alias("last")).where("first != last")
+    side = lambda which: s.join(ends.select("abbrev", F.col(which).alias("fassung_vom")), ver.VERSION, "left_semi")
+    return diffing.diff_sections(side("first"), side("last"), ["abbrev"])
+
+
+@query(f'with {LAWS} select abbrev, severity, "check", cast(n as bigint) as n from law_issues')
+def qa_law_issues(spark, d):
+    """Rules on a law as a whole: its commits, its first and last version, the difference between these."""
+    return quality.law_issues(section_rows(spark, d), table(spark, d, "law_versions"), _first_to_last(spark, d))
+
+
+@query(f"with {SEV} select coalesce(severity, 'OK') as severity, count(*) as n_laws from (select distinct gsn as abbrev from fassung where gsn is not null) left join sev using (abbrev) group by 1")
+def qa_histogram(spark, d):
+    """How many laws have each worst severity."""
+    rows = section_rows(spark, d)
+    return quality.histogram(quality.issues(rows), rows.where("abbrev is not null"))
+
+
 @query(f"with {SEV} select * from sev")
 def qa_severity(spark, d):
     return quality.severities(quality.issues(section_rows(spark, d)))
@@ -804,7 +932,7 @@ KINDS = """kinds as (select *, 100 * proper / total as percent_proper, cast(para
 FIRST = """placed as (select abbrev, fassung_vom, prefix, section_id, row_number() over (partition by abbrev, fassung_vom, prefix order by arrival) as position, row_number() over (partition by abbrev, fassung_vom, prefix order by n, s, arrival) as due from (
   select *, regexp_extract(section_id, '^(§|Art|Anlage)_', 1) as prefix, case when regexp_matches(section_id, '^(?:§|Art|Anlage)_\\d+') then cast(regexp_extract(section_id, '^(?:§|Art|Anlage)_(\\d+)', 1) as integer) else 999999 end as n,
   case when regexp_matches(section_id, '^(?:§|Art|Anlage)_\\d+') then regexp_extract(section_id, '^(?:§|Art|Anlage)_\\d+([a-z]?)', 1) else section_id end as s from q) where prefix <> ''),
- viol as (select a.abbrev, a.fassung_vom, a.prefix, cast(a.position as integer) as position, b.section_id as expected, a.section_id as actual from placed a join placed b on a.abbrev = b.abbrev and a.fassung_vom = b.fassung_vom and a.prefix = b.prefix and a.position = b.due
+ viol as (select a.abbrev, a.fassung_vom, a.prefix, cast(a.position as integer) as position, b.section_id as expected, a.section_id as actual, 'reorder' as kind from placed a join placed b on a.abbrev = b.abbrev and a.fassung_vom = b.fassung_vom and a.prefix = b.prefix and a.position = b.due
   where a.section_id <> b.section_id qualify row_number() over (partition by a.abbrev, a.fassung_vom, a.prefix order by a.position) = 1)"""
 
 
@@ -824,3 +952,22 @@ def verify_report(spark, d):
     kinds = quality.kind_counts(rows).agg(F.count("*").alias("versions"), F.count_if(F.col("hashed") > 0).alias("with_hashed_ids"), F.count_if(F.col("percent_proper") < 50).alias("mostly_hashed"), F.count_if("mixed").alias("mixed"))
     wrong = quality.first_violations(rows).select(*quality.BY).distinct().agg(F.count("*").alias("out_of_order"))
     return kinds.withColumn("_k", F.lit(1)).join(wrong.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+# --- histories and changes of snapshots as delivered
+
+
+@query(f"""with {VERS}, nxt as (select *, lead(fassung_vom) over (partition by abbrev order by seq) as next_date from vers),
+ r as (select s.abbrev, section_id, body, v.seq, fassung_vom, next_date, case when lag(body) over w = body and lag(v.seq) over w = v.seq - 1 then 0 else 1 end as fresh from snap s join nxt v using (abbrev, fassung_vom) window w as (partition by s.abbrev, section_id order by v.seq)),
+ g as (select *, sum(fresh) over (partition by abbrev, section_id order by seq) as run from r)
+ select abbrev, section_id, md5(body) as body_md5, min(fassung_vom) as valid_from, coalesce(arg_max(coalesce(next_date, '9999-12-31'), seq), '9999-12-31') as valid_to from g group by abbrev, section_id, run, body""")
+def delta_validity(spark, d):
+    """The wordings of every section as delivered and their periods, from checkpoints and patches."""
+    rows = snapshot(spark, d).withColumn("body_md5", F.md5(F.col("body").cast("binary")))
+    return DeltaStore.build(rows, "abbrev", "section_id", "body_md5", "fassung_vom").validity()
+
+
+@query(f"with {DIFF} select abbrev, fassung_vom, section_id, case when old_body is null then 'added' when new_body is null then 'removed' else 'changed' end as change_kind from diff where old_body is distinct from new_body")
+def merkle_changes(spark, d):
+    """What changed between consecutive versions as delivered, by digests of hash ranges."""
+    return changes(snapshot(spark, d), "abbrev", "fassung_vom", "section_id", "body")
