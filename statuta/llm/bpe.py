@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Folder of the vocabulary files; a parameter of every function that reads one.
+#: Folder of the vocabulary files unless the session's setting ``statuta.tokenizers`` or a function's parameter names another.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k"
 # Fixed value: the split pattern of the byte-level vocabularies.
@@ -149,8 +149,13 @@ def encoder(vocabulary: str, folder: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, folder: str = TOKENIZERS) -> DataFrame:
+def folder_of(df: DataFrame, folder: str | None) -> str:
+    return folder or df.sparkSession.conf.get("statuta.tokenizers", TOKENIZERS)
+
+
+def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, folder: str | None = None) -> DataFrame:
     """doc_id and ids (a list of integers) of every row; other columns are not read. No shuffle."""
+    folder = folder_of(df, folder)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +171,9 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
-def count_tokens(df: DataFrame, *keep: str, text: str = "text", vocabulary: str = VOCABULARY, folder: str = TOKENIZERS) -> DataFrame:
+def count_tokens(df: DataFrame, *keep: str, text: str = "text", vocabulary: str = VOCABULARY, folder: str | None = None) -> DataFrame:
     """The columns ``keep`` and n_tokens of every row; 0 for null and empty texts. No shuffle."""
+    folder = folder_of(df, folder)
     chosen = df.select(*keep, F.col(text).alias("_text"))
     out = chosen.drop("_text").withColumn("n_tokens", F.lit(0).cast("long")).schema
 

@@ -90,7 +90,8 @@ def route(patterns: dict[tuple[str, ...], int], shares: dict[str, float], caps:
         quotas = {s: int(size * w) for s, w in wanted.items()}
         for p, n in patterns.items():
             mine = [s for s in p if s in wanted]
-            for k in range(max((caps.get(s, 1) for s in mine), default=0)):
+            # no use beyond the whole mixture is needed, however large a cap is
+            for k in range(min(max((caps.get(s, 1) for s in mine), default=0), size // n + 1 if n else 0)):
                 g.add("start", ("p", p), n, k)
             for s in mine:
                 arcs[p, s] = g.add(("p", p), ("s", s), n * caps.get(s, 1), 0)
@@ -139,10 +140,10 @@ def mix(sized: DataFrame, weights: DataFrame, total: int | None = None, seed: in
     starts = spark.createDataFrame(offsets, "pattern array<string>, bucket int, offset long, around long")
     parts = spark.createDataFrame(stretches, "pattern array<string>, source string, first long, last long")
     w = Window.partitionBy("pattern", "bucket").orderBy("at", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = docs.join(F.broadcast(starts), ["pattern", "bucket"]).withColumn("middle", F.col("offset") + F.coalesce(F.sum("n_tokens").over(w), F.lit(0)) + F.col("n_tokens") / 2)
+    placed = docs.join(starts, ["pattern", "bucket"]).withColumn("middle", F.col("offset") + F.coalesce(F.sum("n_tokens").over(w), F.lit(0)) + F.col("n_tokens") / 2)
     # round k of the line has the record's middle at middle + k * around: count the rounds that fall into the stretch
     rounds = lambda end: F.greatest(F.lit(0), F.ceil((F.col(end) - F.col("middle")) / F.col("around"))).cast("int")
-    used = placed.join(F.broadcast(parts), "pattern").withColumn("times", rounds("last") - rounds("first"))
+    used = placed.join(parts, "pattern").withColumn("times", rounds("last") - rounds("first"))
     return used.where("times > 0").select("doc_id", "source", "times", "n_tokens")
 
 

@@ -62,15 +62,24 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """doc_id_a, doc_id_b of every two documents that share a run of 200 characters or more."""
     docs = table(spark, d, "documents")
-    return spans.record_pairs(spans.text_pairs(spans.candidate_spans(docs)), spans.members(docs))
+    met = spans.met_hashes(docs)
+    return spans.record_pairs(spans.text_pairs(spans.candidate_spans(docs, met=met)), spans.members(docs, met=met))
 
 
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     """doc_id, n_chars, shared_chars, share of every document."""
     docs = table(spark, d, "documents")
-    return spans.shared_share(docs, spans.shared_spans(spans.candidate_spans(docs)))
+    met = spans.met_hashes(docs)
+    return spans.shared_share(docs, spans.shared_spans(spans.candidate_spans(docs, met=met)), met=met)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_normalized, p5_found, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_shared)}
+def p9_links(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, class_id (of equal texts), n_copies, n_links (to other texts) of every document of 200 characters or more."""
+    docs = table(spark, d, "documents")
+    met = spans.met_hashes(docs)
+    return spans.linked_classes(spans.text_pairs(spans.candidate_spans(docs, met=met)), spans.members(docs, met=met))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_normalized, p5_found, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_shared, p9_links)}
 
 ORACLES: dict[str, str] = {}

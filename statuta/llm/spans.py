@@ -147,23 +147,36 @@ def windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     return docs.mapInArrow(run, "doc long, token long, first int, last int")
 
 
-def members(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
-    """doc_id, doc, check of every record of ``span`` characters or more: doc stands for its text, alike for copies."""
-    long_ones = documents.where(F.length(text) >= span)
-    return long_ones.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc"), F.xxhash64(text, F.lit(1)).alias("check"))
+def met_hashes(documents: DataFrame, text: str = "text", span: int = SPAN) -> DataFrame:
+    """The hashes that different texts have in common (a stored table, of no rows but for chance); a second hash tells the texts apart."""
+    both = documents.where(F.length(text) >= span).select(F.xxhash64(text).alias("doc"), F.xxhash64(text, F.lit(1)).alias("check"))
+    return stored(both.groupBy("doc").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo != hi").select("doc", F.lit(True).alias("met")))
 
 
-def candidate_spans(documents: DataFrame, text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
+def _with_doc(documents: DataFrame, text: str, span: int, met: DataFrame) -> DataFrame:
+    """Records of ``span`` characters or more with ``doc``, which stands for their text: its hash, or the second one where texts meet in the first."""
+    rows = documents.where(F.length(text) >= span).withColumn("doc", F.xxhash64(text)).join(met, "doc", "left")
+    return rows.withColumn("doc", F.when(F.col("met"), F.xxhash64(F.col("doc"), F.xxhash64(text, F.lit(1)))).otherwise(F.col("doc"))).drop("met")
+
+
+def members(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, met: DataFrame | None = None) -> DataFrame:
+    """doc_id, doc of every record of ``span`` characters or more: doc stands for its text, alike for copies."""
+    met = met_hashes(documents, text, span) if met is None else met
+    return _with_doc(documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", span, met).select("doc_id", "doc")
+
+
+def candidate_spans(documents: DataFrame, text: str = "text", span: int = SPAN, gram: int = GRAM, met: DataFrame | None = None) -> DataFrame:
     """doc, at, first_here, h1, h2 of every start of a span whose least token another text has too (a stored table).
 
-    doc is the hash of the whole text, so that copies count as one text. first_here marks the first of equal spans
+    doc stands for the whole text, so that copies count as one text. first_here marks the first of equal spans
     within a text. h1 and h2 (64 and 32 bits) are hashes of the whole span.
     """
-    docs = documents.select(F.col(text).alias("text")).where(F.length("text") >= span).select(F.xxhash64("text").alias("doc"), "text")
+    met = met_hashes(documents, text, span) if met is None else met
+    docs = _with_doc(documents.select(F.col(text).alias("text")), "text", span, met).select("doc", "text")
     found = stored(windows(docs, span, gram))
     # stored, so that its size is known when the join is planned: only a small one is broadcast
-    met = stored(found.groupBy("token").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("token"))
-    starts = found.join(met, "token", "left_semi").select("doc", F.struct("first", "last").alias("w"))
+    shared = stored(found.groupBy("token").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("token"))
+    starts = found.join(shared, "token", "left_semi").select("doc", F.struct("first", "last").alias("w"))
     starts = starts.groupBy("doc").agg(F.collect_set("w").alias("ws"))  # bounded by the text's own length
     schema = pa.schema([("doc", pa.int64()), ("at", pa.int32()), ("first_here", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int32())])
 
@@ -219,12 +232,23 @@ def record_pairs(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """doc_id_a, doc_id_b (a < b) of every two records (from ``members``) whose texts are a pair or the same."""
     side = lambda k: records.select(F.col("doc").alias(k), F.col("doc_id").alias(f"doc_id_{k}"))
     different = pairs.join(side("a"), "a").join(side("b"), "b").select(F.least("doc_id_a", "doc_id_b").alias("doc_id_a"), F.greatest("doc_id_a", "doc_id_b").alias("doc_id_b"))
-    copy = lambda k: records.select("doc", "check", F.col("doc_id").alias(f"doc_id_{k}"))
-    same = copy("a").join(copy("b"), ["doc", "check"]).where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
+    copy = lambda k: records.select("doc", F.col("doc_id").alias(f"doc_id_{k}"))
+    same = copy("a").join(copy("b"), "doc").where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b")
     return different.where("doc_id_a < doc_id_b").unionByName(same).distinct()
 
 
-def shared_share(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
+def linked_classes(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """doc_id, class_id, n_copies, n_links of every record of ``members``; no pair is expanded.
+
+    The class is that of all copies of a text (its id is the least doc_id); n_links counts the other texts that share a
+    span with it.
+    """
+    classes = records.groupBy("doc").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_copies"))
+    links = pairs.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("n_links"))
+    return records.join(classes, "doc").join(links, "doc", "left").select("doc_id", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def shared_share(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, met: DataFrame | None = None) -> DataFrame:
     """doc_id, n_chars, shared_chars, share of every record: how many of its characters lie in a span held elsewhere.
 
     ``spans`` comes from ``shared_spans``. A copy is shared as a whole if it has ``span`` characters. Null texts have
@@ -234,9 +258,11 @@ def shared_share(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id",
     nxt = F.lead("at").over(Window.partitionBy("doc").orderBy("at"))
     covered = spans.select("doc", "at").withColumn("c", F.least(F.lit(span), F.coalesce(nxt - F.col("at"), F.lit(span))))
     covered = covered.groupBy("doc").agg(F.sum("c").alias("part"))
-    copies = members(documents, doc_id, text, span).groupBy("doc").agg((F.count("*") > 1).alias("copied"))
-    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"), F.xxhash64(text).alias("doc"))
-    out = docs.join(copies, "doc", "left").join(covered, "doc", "left")
+    records = members(documents, doc_id, text, span, met)
+    copies = records.groupBy("doc").agg((F.count("*") > 1).alias("copied"))
+    shared = records.join(copies, "doc").join(covered, "doc", "left").select("doc_id", "copied", "part")
+    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"))
+    out = docs.join(shared, "doc_id", "left")
     shared = F.when(F.coalesce("copied", F.lit(False)), F.col("n_chars")).otherwise(F.coalesce("part", F.lit(0)))
     out = out.select("doc_id", "n_chars", shared.cast("long").alias("shared_chars"))
     return out.withColumn("share", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(0.0))

@@ -6,8 +6,9 @@ ignorable characters cost nothing and every other edit costs 1 (with a budget of
 at the least cost the most frequent one is the canonical spelling; a word that reaches none is normalised by table.
 
 The vocabulary is spread over buckets by a hash of the looks, which words that reach each other at no cost have in
-common (with a budget: of its first letters), so each trie holds one bucket only; there are more buckets the larger
-the vocabulary is. Words are looked up once each, however often they occur.
+common, so each trie holds one bucket only; there are more buckets the larger the vocabulary is. With a budget, words
+also stand under their looks with up to as many letters left out: words within the budget have one of these in common.
+Words are looked up once each, however often they occur.
 
 A word wholly in another script is only replaced if the vocabulary has a word that looks the same and it has two
 letters or more: otherwise it stands for itself. Null and empty texts stay as they are.
@@ -21,12 +22,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from ..functions.charforms import _FOREIGN, _LATIN, _TABLE, IGNORABLE, LOOKALIKE, ODD, ODD_JAVA, WORD, looks_odd, plain_char, plain_word
 from ..sources.stored import stored
 
-#: Letters of the looks that decide the bucket if edits are allowed.
-PREFIX = 4
 #: Buckets at least, and vocabulary words a bucket at most, on average.
 BUCKETS, WORDS_A_BUCKET = 256, 20_000
 _END = ""
@@ -38,6 +38,15 @@ def looks(word: str) -> str:
     return unicodedata.normalize("NFC", "".join(LOOKALIKE.get(c, c) for c in word))
 
 
+def near_looks(look: str, budget: int) -> list[str]:
+    """The looks with up to ``budget`` letters left out, each once."""
+    out = level = {look}
+    for _ in range(budget):
+        level = {w[:k] + w[k + 1 :] for w in level for k in range(len(w))}
+        out = out | level
+    return sorted(out)
+
+
 def trie_of(words: list[tuple[str, int]]) -> dict:
     root: dict = {}
     for word, n in words:
@@ -107,14 +116,14 @@ class LookAutomaton:
         return sorted(best.values())
 
 
-def canonical(word: str, trie: dict, budget: int = 0) -> str:
-    """The canonical spelling of an odd word."""
+def canonical(word: str, trie: dict, budget: int = 0) -> tuple[int, int, str]:
+    """(cost, frequency, spelling): the canonical spelling of an odd word; without one, its plain form at more than the budget."""
     composed = unicodedata.normalize("NFC", word.translate(_TABLE))
     foreign = _FOREIGN.search(composed) and not _LATIN.search(composed)
     if foreign and sum(c.isalpha() for c in composed) < 2:
-        return composed
+        return 0, 0, composed
     found = LookAutomaton(word, budget).matches(trie)
-    return found[0][2] if found else plain_word(composed)
+    return (found[0][0], -found[0][1], found[0][2]) if found else (budget + 1, 0, plain_word(composed))
 
 
 def law_texts(catalog: DataFrame, fassung: DataFrame) -> DataFrame:
@@ -152,11 +161,13 @@ def spellings(texts: DataFrame, occurrences: DataFrame, budget: int = 0) -> Data
     plain = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}\x{ad}\x{200b}-\x{200f}\x{2060}\x{feff}\x{34f}]+"), F.lit(0))).alias("word")).where(~F.col("word").rlike(ODD_JAVA))
     vocabulary = stored(plain.groupBy("word").agg(F.count("*").alias("n")))
     buckets = max(BUCKETS, vocabulary.count() // WORDS_A_BUCKET)
-    by = F.substring("looks", 1, PREFIX) if budget else F.col("looks")
-    bucket = F.pmod(F.xxhash64(by), F.lit(buckets)).cast("int").alias("bucket")
+    bucket = F.pmod(F.xxhash64("looks"), F.lit(buckets)).cast("int").alias("bucket")
+    if budget:
+        around = F.pandas_udf(lambda s: s.map(lambda w: near_looks(w, budget)), ArrayType(StringType()), F.PandasUDFType.SCALAR)
+        bucket = F.explode(F.array_distinct(F.transform(around("looks"), lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int")))).alias("bucket")
     entries = vocabulary.select(F.lit(0).alias("odd"), "word", F.col("word").alias("looks"), "n").select("odd", "word", "n", bucket)
     asked = occurrences.where("word is not null").select("word", "looks").distinct().select(F.lit(1).alias("odd"), "word", F.lit(0).cast("long").alias("n"), bucket)
-    schema = pa.schema([("word", pa.string()), ("canonical", pa.string())])
+    schema = pa.schema([("word", pa.string()), ("cost", pa.int32()), ("n", pa.int64()), ("canonical", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, words, trie = -1, [], None
@@ -170,12 +181,14 @@ def spellings(texts: DataFrame, occurrences: DataFrame, budget: int = 0) -> Data
                 else:
                     if trie is None:
                         trie, words = trie_of(words), []
-                    out.append((word, canonical(word, trie, budget)))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.string()) for k in (0, 1)], schema=schema)
+                    out.append((word, *canonical(word, trie, budget)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t.type) for k, t in enumerate(schema)], schema=schema)
 
     # only buckets that something is looked up in are moved
     entries = entries.join(asked.select("bucket").distinct(), "bucket", "left_semi").select("odd", "word", "n", "bucket")
-    return entries.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "odd").mapInArrow(run, "word string, canonical string")
+    found = entries.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "odd").mapInArrow(run, "word string, cost int, n long, canonical string")
+    # a word under several looks was looked up in several buckets
+    return found.groupBy("word").agg(F.min_by("canonical", F.struct("cost", -F.col("n"), "canonical")).alias("canonical")) if budget else found.select("word", "canonical")
 
 
 def inconsistent(texts: DataFrame) -> DataFrame:

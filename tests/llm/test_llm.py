@@ -99,6 +99,23 @@ def test_spans(spark, seed):
     share = {r.doc_id: (r.shared_chars, r.n_chars) for r in spans.shared_share(df, spans.shared_spans(cand), span=20).collect()}
     assert share == {i: (cover[i], len(x or "")) for i, x in docs}
     assert spans.text_pairs(spans.candidate_spans(df.limit(0))).count() == 0
+    texts = dict(docs)
+    classes = {r.doc_id: r for r in spans.linked_classes(spans.text_pairs(cand), spans.members(df, span=20)).collect()}
+    assert set(classes) == {i for i, x in docs if len(x or "") >= 20}
+    for i, r in classes.items():
+        others = {texts[b if a == i else a] for a, b in pairs if i in (a, b)} - {texts[i]}
+        same = [k for k, x in docs if x == texts[i]]
+        assert (r.class_id, r.n_copies, r.n_links) == (min(same), len(same), len(others))
+
+
+def test_texts_of_one_hash(spark, monkeypatch):
+    """Texts whose hashes meet are told apart."""
+    docs = [(1, "a" * 30 + "x" * 25), (2, "b" * 30 + "y" * 25), (3, "c" * 5 + "x" * 25), (4, "d" * 5 + "y" * 25)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    met = df.where("doc_id <= 2").select(F.xxhash64("text").alias("doc"), F.lit(True).alias("met"))
+    cand = spans.candidate_spans(df, span=20, gram=11, met=met)
+    assert sorted(rows_of(spans.record_pairs(spans.text_pairs(cand), spans.members(df, span=20, met=met)))) == [(1, 3), (2, 4)]
+    assert spans.met_hashes(df, span=20).count() == 0
 
 
 @settings(max_examples=200, deadline=None)
@@ -152,11 +169,11 @@ def test_mix(spark):
 
 def test_automaton():
     trie = spelling.trie_of([("so", 5), ("höhe", 2), ("öffnung", 1), ("hohe", 9)])
-    assert spelling.canonical("ѕо", trie) == "so"  # wholly Cyrillic, but a word of the vocabulary
-    assert spelling.canonical("hо\u0308he", trie) == "höhe"
-    assert spelling.canonical("o\N{COMBINING DIAERESIS}\u200bﬀnung", trie) == "öffnung"
-    assert spelling.canonical("Палата", trie) == "Палата" and spelling.canonical("α", trie) == "α"
-    assert spelling.canonical("Ѕalz", trie) == "Salz"  # by table
+    assert spelling.canonical("ѕо", trie)[2] == "so"  # wholly Cyrillic, but a word of the vocabulary
+    assert spelling.canonical("hо\u0308he", trie)[2] == "höhe"
+    assert spelling.canonical("o\N{COMBINING DIAERESIS}\u200bﬀnung", trie)[2] == "öffnung"
+    assert spelling.canonical("Палата", trie)[2] == "Палата" and spelling.canonical("α", trie)[2] == "α"
+    assert spelling.canonical("Ѕalz", trie)[2] == "Salz"  # by table
     assert [w for _, _, w in spelling.LookAutomaton("hоhе", 1).matches(trie)] == ["hohe", "höhe"]
 
 
@@ -169,6 +186,25 @@ def test_spelling(spark):
     assert spelling.inconsistent(df.limit(0)).count() == 0
 
 
+def test_spelling_with_edits(spark):
+    """An odd word that is misspelt as well, at its beginning or end, finds its word within the budget."""
+    plain = [("t", k, "f", w) for k, w in enumerate(["Bewilligung", "Bewilligung", "Verordnung", "Haftung"])]
+    odd = [("t", 10, "f", "Bwilligu\u00adng"), ("t", 11, "f", "Vеrordnun"), ("t", 12, "f", "Hаftungen")]  # Cyrillic letters
+    df = spark.createDataFrame(plain + odd, "tab string, rec_id long, field_name string, text string")
+    words = spelling.odd_words(df)
+    assert {r.word: r.canonical for r in spelling.spellings(df, words).collect()} == {"Bwilligu\u00adng": "Bwilligung", "Vеrordnun": "Verordnun", "Hаftungen": "Haftungen"}
+    assert {r.word: r.canonical for r in spelling.spellings(df, words, budget=1).collect()} == {"Bwilligu\u00adng": "Bewilligung", "Vеrordnun": "Verordnung", "Hаftungen": "Haftungen"}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abc", min_size=1, max_size=6), min_size=1, max_size=12), st.text("abc", min_size=1, max_size=6), st.integers(0, 2))
+def test_looks_in_common(words, asked, budget):
+    """Words within the budget have one of their shortened looks in common, so no bucket hides them."""
+    mine = set(spelling.near_looks(asked, budget))
+    for cost, _, word in spelling.LookAutomaton(asked, budget).matches(spelling.trie_of([(w, 1) for w in words])):
+        assert cost <= budget and mine & set(spelling.near_looks(word, budget))
+
+
 # --- consensus
 
 
