@@ -1,7 +1,7 @@
 """The library's front door: laws, versions, sections as of a date, differences.
 
 ``LawStore`` works on section rows (abbrev, fassung_vom, section_id, heading, body, section_type, arrival) and, if
-given, on commits and a catalog. Everything returned is a DataFrame; unknown laws and dates raise ``LookupError``.
+given, on commits and a catalog, which bring names, amendments and ids. Everything returned is a DataFrame; unknown laws and dates raise ``LookupError``.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions.law_text import section_sort_key
+from .operators import catalog as cat
 from .operators import diffing
 from .operators import versions as ver
 from .sources.stored import stored
@@ -18,9 +19,21 @@ RED, GREEN, BOLD, PLAIN = "\033[31m", "\033[32m", "\033[1m", "\033[0m"
 
 
 class LawStore:
-    def __init__(self, rows: DataFrame) -> None:
+    """``commits``: abbrev, fassung_vom, version_id, aenderung, message. ``catalog``: gsn, name, abbrev, typ, cat_id.
+
+    ``listed``: abbreviations (column abbrev) that ``law`` marks as synthetic. Laws are found in the catalog by gsn,
+    which is the abbreviation unless ``gsn_of`` (abbrev, gsn) tells otherwise.
+    """
+
+    def __init__(self, rows: DataFrame, commits: DataFrame | None = None, catalog: DataFrame | None = None, listed: DataFrame | None = None, gsn_of: DataFrame | None = None) -> None:
         self.snapshot = stored(ver.build_snapshot(rows))
-        self.versions_table = stored(ver.versions_of(self.snapshot))
+        self.versions_table = stored(ver.versions_of(rows))
+        self.commits, self.listed = commits, listed
+        self.names = None
+        if catalog is not None:
+            laws = self.versions_table.select("abbrev").distinct()
+            laws = laws.join(gsn_of, "abbrev") if gsn_of is not None else laws.withColumn("gsn", F.col("abbrev"))
+            self.names = stored(cat.law_names_fallback(laws, catalog).select("abbrev", "name"))
         self._sections: DataFrame | None = None
 
     @property
@@ -31,9 +44,39 @@ class LawStore:
         return self._sections
 
     def laws(self, search: str = "") -> DataFrame:
-        """abbrev, versions, newest_fassung_vom of the laws whose abbreviation has ``search`` in it, case aside."""
-        found = self.versions_table.where(F.lower("abbrev").contains(search.lower()))
-        return found.groupBy("abbrev").agg(F.count("*").alias("versions"), F.max("fassung_vom").alias("newest_fassung_vom")).orderBy("abbrev")
+        """abbrev, name, versions, newest_fassung_vom of the laws whose abbreviation or name has ``search`` in it, case aside."""
+        found = self.versions_table.groupBy("abbrev").agg(F.count("*").alias("versions"), F.max("fassung_vom").alias("newest_fassung_vom"))
+        found = found.join(self.names, "abbrev", "left") if self.names is not None else found.withColumn("name", F.lit(""))
+        found = found.select("abbrev", F.coalesce("name", F.lit("")).alias("name"), "versions", "newest_fassung_vom")
+        return found.where(F.lower("abbrev").contains(search.lower()) | F.lower("name").contains(search.lower())).orderBy("abbrev")
+
+    def law(self, abbrev: str) -> dict:
+        """A law's abbreviation, name, number of versions and of sections, whether it is listed, and versions_list.
+
+        versions_list is a DataFrame, newest first: fassung_vom, aenderung, short_id, sections (for the newest version
+        only, as reconstructed), changed_count, changed_sections (30 at most, in natural order). Of several commits of
+        one date the newest counts.
+        """
+        versions = self.versions(abbrev)
+        newest = versions.first()
+        sections = self.sections.where(F.col("abbrev") == abbrev)
+        changed = ver.changed_lists(sections).select("fassung_vom", F.size("changed").alias("changed_count"), F.slice("changed", 1, 30).alias("changed_sections"))
+        total = self.as_of(abbrev, newest.fassung_vom).count()
+        commits = None
+        if self.commits is not None:
+            mine = self.commits.where(F.col("abbrev") == abbrev).groupBy("fassung_vom").agg(F.max_by(F.struct("aenderung", "message"), "version_id").alias("c"))
+            commits = mine.select("fassung_vom", "c.aenderung", ver.short_id(F.md5(F.col("c.message").cast("binary"))).alias("short_id"))
+        listed = versions.select("fassung_vom").join(changed, "fassung_vom", "left")
+        listed = listed.join(commits, "fassung_vom", "left") if commits is not None else listed.withColumns({"aenderung": F.lit(None).cast("string"), "short_id": F.lit(None).cast("string")})
+        listed = listed.withColumn("sections", F.when(F.col("fassung_vom") == newest.fassung_vom, F.lit(total)))
+        return {
+            "abbrev": abbrev,
+            "name": self.laws(abbrev).where(F.col("abbrev") == abbrev).first()["name"],
+            "versions_count": versions.count(),
+            "sections": total,
+            "synthetic": self.listed is not None and not self.listed.where(F.col("abbrev") == abbrev).isEmpty(),
+            "versions_list": listed.select("fassung_vom", "aenderung", "short_id", "sections", F.coalesce("changed_count", F.lit(0)).alias("changed_count"), "changed_sections").orderBy(F.desc("fassung_vom")),
+        }
 
     def versions(self, abbrev: str) -> DataFrame:
         """The versions of a law, newest first."""

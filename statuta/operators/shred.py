@@ -33,13 +33,13 @@ def shred_array_levels(df: DataFrame, rec_id: str, levels: Sequence[str]) -> lis
     """
     tables = []
     outer = df.select(F.col(rec_id).alias("rec_id"), F.lit("").alias("dewey"), F.col(levels[0]).alias("_kids"))
-    for k, level in enumerate(levels):
-        at = outer.select("rec_id", F.col("dewey").alias("parent_dewey"), F.posexplode("_kids").alias("_pos", "_node"))
+    for k in range(len(levels)):
+        at = outer.select("rec_id", F.col("dewey").alias("_around"), F.posexplode("_kids").alias("_pos", "_node"))
         at = at.withColumn("no", (F.col("_pos") + 1).cast("int"))
-        at = at.withColumn("dewey", F.concat_ws(".", F.when(F.col("parent_dewey") != "", F.col("parent_dewey")), F.col("no").cast("string")))
+        at = at.withColumn("dewey", F.concat_ws(".", F.when(F.col("_around") != "", F.col("_around")), F.col("no").cast("string")))
         below = levels[k + 1] if k + 1 < len(levels) else None
         fields = [f for f in at.schema["_node"].dataType.fieldNames() if f != below]
-        tables.append(at.select("rec_id", "dewey", "parent_dewey", "no", *(F.col("_node")[f].alias(f) for f in fields)))
+        tables.append(at.select("rec_id", "dewey", parent_label(F.col("dewey")).alias("parent_dewey"), "no", *(F.col("_node")[f].alias(f) for f in fields)))
         if below:
             outer = at.select("rec_id", "dewey", F.col("_node")[below].alias("_kids"))
     return tables
@@ -123,6 +123,15 @@ def shred_xml(df: DataFrame, rec_id: str, xml: str, wanted: Sequence[str] | None
     return df.where(F.col(xml) != "").select(F.col(rec_id).cast("long"), F.col(xml)).mapInArrow(run, XML_NODES)
 
 
+def tables_by_path(nodes: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
+    """For each element name the flat table of its nodes (rows of ``shred_xml``), whatever path they stand at.
+
+    rec_id, dewey, parent_dewey, schema_path, the attributes, and the text. Children point to their parent's row by
+    rec_id and parent_dewey, the label without its last ordinal.
+    """
+    return {n: nodes.where(F.col("name") == n).select("rec_id", "dewey", parent_label(F.col("dewey")).alias("parent_dewey"), "schema_path", "attrs", "text") for n in names}
+
+
 def numbered_descendants(df: DataFrame, rec_id: str, xml: str, name: str, attribute: str, value: str) -> DataFrame:
     """rec_id, dewey, child_no, parent_no of the elements ``name`` whose ``attribute`` is ``value``.
 

@@ -1,4 +1,4 @@
-"""Files of snapshots, sections and maps in JSON, and the table of versions as a sink.
+"""Files of snapshots, sections, maps and documents, and the sinks: the table of versions, artefacts as JSON or parquet.
 
 A snapshot file holds one JSON object from section id to section. A file of one section is named after its id, which
 stands in for a missing ``section_id``. Broken files give no rows (``strict=True``: an error).
@@ -6,9 +6,13 @@ stands in for a missing ``section_id``. Broken files give no rows (``strict=True
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.law_text import version_message
+from ..operators.versions import author_date
+
 SECTION = "section_id string, heading string, body string, section_type string, fassung_vom string, body_blocks array<struct<type:string,text:string,style:string,items:array<struct<symbol:string,text:string>>>>"
 
 
@@ -35,6 +39,50 @@ def read_map(spark: SparkSession, path: str, key: str = "key", value: str = "val
     return text.select(F.explode(F.from_json("value", "map<string,string>")).alias(key, value))
 
 
+def read_working_tree(spark: SparkSession, path: str) -> DataFrame:
+    """abbrev, section_id and the section's fields of laws without a version store: one folder a law with its one snapshot file.
+
+    Such a law has one version, whatever date is asked for.
+    """
+    rows = read_snapshots(spark, path)
+    return rows.withColumn("abbrev", F.url_decode(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))).drop("path")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """nor_id (the file's name), nutzdaten (the XML text) and abgerufen_am (the file's time) of every XML file below ``path``."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").text(path, wholetext=True)
+    return files.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.xml$", 1).alias("nor_id"), F.col("value").alias("nutzdaten"), F.col("_metadata.file_modification_time").alias("abgerufen_am"))
+
+
+def keep_documents(fetched: DataFrame, path: str) -> None:
+    """Adds fetched documents (nor_id, nutzdaten, abgerufen_am) to the cache at ``path``; those it has already are left as they are."""
+    spark = fetched.sparkSession
+    new = fetched.where(F.col("nor_id").isNotNull() & (F.col("nutzdaten") != "")).groupBy("nor_id").agg(F.max(F.struct("abgerufen_am", "nutzdaten")).alias("d")).select("nor_id", "d.*")
+    try:
+        held = spark.read.parquet(path).select("nor_id")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        held = new.select("nor_id").limit(0)
+    # the cache is read before the write begins, and appending leaves its files alone
+    new.join(held, "nor_id", "left_anti").write.mode("append").parquet(path)
+
+
+def write_artefact(df: DataFrame, path: str, kind: str = "json") -> None:
+    """Writes a catalog, match list, final list, index or report as a folder of JSON lines or parquet, replacing what is there."""
+    df.write.mode("overwrite").format(kind).save(path)
+
+
+def write_messages(versions: DataFrame, path: str) -> None:
+    """Writes versions (abbrev, fassung_vom, aenderung) with their messages and author dates, a folder each law.
+
+    The amendment is cut after 120 characters; dates out of range have no author date. Whole laws are replaced.
+    """
+    message = version_message(F.col("abbrev"), F.col("fassung_vom"), F.col("aenderung"))
+    rows = versions.select("abbrev", "fassung_vom", F.left(F.coalesce("aenderung", F.lit("")), F.lit(120)).alias("aenderung"), message.alias("message"), author_date(F.col("fassung_vom")).alias("author_date"))
+    rows.repartition("abbrev").write.partitionBy("abbrev").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def write_versions(sections: DataFrame, path: str, law: str = "abbrev") -> None:
     """Writes whole laws, a folder each; laws written before and not in ``sections`` stay as they are.
 

@@ -5,6 +5,11 @@ date), ``pages`` (pages at most a scan; default 10000), ``pause`` (seconds betwe
 ``attempts`` (default 4). Each scan is one partition, so scans run in parallel and a lost one is repeated alone. Pages
 are asked for until the number of hits is reached; a reply without results ends the scan.
 
+A crawl of very many pages sets ``range`` (pages a partition): then a scan is cut into ranges of pages. A page that
+fails is passed over, and a range ends where the hits end or after ``dry`` pages (default 200) without a row.
+``at_once`` (default 5) bounds the requests at a time: partitions are grouped into so many tasks, each of which sends
+one request after another.
+
 The columns are those of an index row. ``documents_of`` reads replies already on disk by the same rules.
 """
 
@@ -58,9 +63,11 @@ def rows_of_reply(reply: dict) -> tuple[list[tuple], bool]:
     return rows, page * size >= total
 
 
-class Scan(InputPartition):
-    def __init__(self, parameters: dict[str, str]) -> None:
-        self.parameters = parameters
+class Scans(InputPartition):
+    """Scans that one task makes in turn: (parameters, first page, last page)."""
+
+    def __init__(self, scans: list[tuple[dict[str, str], int, int]]) -> None:
+        self.scans = scans
 
 
 class PagedReader(DataSourceReader):
@@ -68,9 +75,12 @@ class PagedReader(DataSourceReader):
         self.url = options["url"]
         self.keys = json.loads(options["keys"])
         self.most, self.pause, self.attempts = int(options.get("pages", 10_000)), float(options.get("pause", 0.2)), int(options.get("attempts", 4))
+        self.range, self.dry, self.at_once = int(options.get("range", 0)), int(options.get("dry", 200)), int(options.get("at_once", 5))
 
-    def partitions(self) -> list[Scan]:
-        return [Scan(k) for k in self.keys]
+    def partitions(self) -> list[Scans]:
+        width = self.range or self.most
+        scans = [(k, first, min(first + width - 1, self.most)) for k in self.keys for first in range(1, self.most + 1, width)]
+        return [Scans(scans[k :: self.at_once]) for k in range(min(self.at_once, len(scans)))]
 
     def ask(self, parameters: dict[str, str]) -> dict:
         """One request; failed ones are repeated after 1, 2, 4 ... seconds."""
@@ -86,12 +96,20 @@ class PagedReader(DataSourceReader):
                 time.sleep(2**k)
         return {}
 
-    def read(self, partition: Scan) -> Iterator[tuple]:
-        for page in range(1, self.most + 1):
-            rows, last = rows_of_reply(self.ask(partition.parameters | {"Seitennummer": str(page), "DokumenteProSeite": "OneHundred"}))
-            yield from rows
-            if last:
-                return
+    def read(self, partition: Scans) -> Iterator[tuple]:
+        for parameters, first, last in partition.scans:
+            dry = 0
+            for page in range(first, last + 1):
+                try:
+                    rows, at_end = rows_of_reply(self.ask(parameters | {"Seitennummer": str(page), "DokumenteProSeite": "OneHundred"}))
+                except (OSError, ValueError):
+                    if not self.range:
+                        raise
+                    rows, at_end = [], False  # a crawl goes on with the next page
+                yield from rows
+                dry = 0 if rows else dry + 1
+                if at_end or dry > self.dry:
+                    break
 
 
 class PagedDocuments(DataSource):
@@ -106,6 +124,11 @@ class PagedDocuments(DataSource):
         return PagedReader(self.options)
 
 
+def dated(index: DataFrame) -> DataFrame:
+    """The index rows that have an in-force date, which becomes ``fassung_vom``."""
+    return index.where(F.col("inkrafttretensdatum") != "").withColumn("fassung_vom", F.col("inkrafttretensdatum"))
+
+
 def documents_of(spark: SparkSession, path: str) -> DataFrame:
     """The index rows of replies kept as JSON files, one reply a file."""
     text = spark.read.text(path, wholetext=True)

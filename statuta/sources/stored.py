@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL = threading.local()
+
+
+def _open() -> list[list[DataFrame]]:
+    """The tables stored within each ``intermediates`` of this thread that is not at its end."""
+    if not hasattr(_LOCAL, "open"):
+        _LOCAL.open = []
+    return _LOCAL.open
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where that is unset, a temporary one of this machine in local mode only."""
@@ -26,6 +38,8 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
+    if _open():
+        _open()[-1].append(out)
     return out
 
 
@@ -34,3 +48,14 @@ def discard(df: DataFrame) -> None:
     jvm = df.sparkSession._jvm
     path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
     path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def intermediates() -> Iterator[None]:
+    """Deletes at its end the tables stored within; results must be written or collected inside."""
+    _open().append([])
+    try:
+        yield
+    finally:
+        for df in _open().pop():
+            discard(df)

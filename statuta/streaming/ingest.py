@@ -6,12 +6,14 @@ run that is stopped goes on where it was. Each batch rewrites the laws it touche
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.versions import build_snapshot
+from ..sources.stored import intermediates, stored
 
 
 def follow(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, files_per_batch: int = 64) -> StreamingQuery:
@@ -23,17 +25,16 @@ def follow(spark: SparkSession, source: str, schema: StructType, target: str, ch
 
     def merge(batch: DataFrame, _: int) -> None:
         laws = batch.select("abbrev").distinct()
-        try:
-            # read eagerly into a stored copy: the folders read are those overwritten below
-            from ..sources.stored import stored
-
-            before = stored(spark.read.schema(batch.schema).parquet(target).join(laws, "abbrev", "left_semi"))
-            rows = before.unionByName(batch)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            rows = batch
-        build_snapshot(rows).write.partitionBy("abbrev").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
+        with intermediates():
+            try:
+                # read eagerly into a stored copy: the folders read are those overwritten below
+                before = stored(spark.read.schema(batch.schema).parquet(target).join(laws, "abbrev", "left_semi"))
+                rows = before.unionByName(batch)
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e):
+                    raise
+                rows = batch
+            build_snapshot(rows).write.partitionBy("abbrev").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     return stream.where(F.col("abbrev").isNotNull()).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

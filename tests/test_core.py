@@ -322,6 +322,116 @@ def test_paging(monkeypatch):
     monkeypatch.setattr(PagedReader, "ask", ask)
     reader = PagedReader({"url": "x", "keys": '[{"Gesetzesnummer": "1"}, {"Gesetzesnummer": "2"}]'})
     assert len(reader.partitions()) == 2 and len(list(reader.read(reader.partitions()[0]))) == 207 and asked == ["1", "2", "3"]
+    many = PagedReader({"url": "x", "keys": json.dumps([{"Gesetzesnummer": str(k)} for k in range(12)]), "at_once": "5"})
+    assert len(many.partitions()) == 5 and sum(len(p.scans) for p in many.partitions()) == 12
+
+
+def test_crawl_by_ranges(monkeypatch):
+    """A crawl of many pages is cut into ranges; bad pages are passed over, a range ends after dry pages."""
+    from statuta.sources.paged_api import PagedReader
+
+    asked = []
+
+    def ask(self, parameters):
+        page = int(parameters["Seitennummer"])
+        asked.append(page)
+        if page == 3:
+            raise OSError("timed out")
+        return {"OgdSearchResult": {"OgdDocumentResults": {"OgdDocumentReference": [{}] * (10 if page < 25 else 0), "Hits": {"#text": "99999", "@pageSize": "100", "@pageNumber": str(page)}}}}
+
+    monkeypatch.setattr(PagedReader, "ask", ask)
+    reader = PagedReader({"url": "x", "keys": '[{"Typ": "BG"}]', "pages": "60", "range": "20", "dry": "5", "at_once": "2"})
+    assert [[(a, b) for _, a, b in p.scans] for p in reader.partitions()] == [[(1, 20), (41, 60)], [(21, 40)]]
+    rows = [r for p in reader.partitions() for r in reader.read(p)]
+    assert len(rows) == 230 and sorted(asked) == [*range(1, 31), *range(41, 47)]
+
+
+def test_documents_and_sinks(spark, tmp_path):
+    from statuta.sources import files
+    from statuta.sources.paged_api import dated
+
+    for name, text in (("N1", "<a/>"), ("N2", "")):
+        (tmp_path / "xml").mkdir(exist_ok=True)
+        (tmp_path / "xml" / f"{name}.xml").write_text(text)
+    docs = files.read_documents(spark, str(tmp_path / "xml"))
+    got = sorted((r.nor_id, r.nutzdaten, r.abgerufen_am is not None) for r in docs.collect())
+    assert ("N1", "<a/>", True) in got and set(got) <= {("N1", "<a/>", True), ("N2", "", True)}  # an empty file may give no row
+    docs = spark.createDataFrame([("N1", "<a/>", None), ("N2", "", None)], "nor_id string, nutzdaten string, abgerufen_am timestamp")
+    cache = str(tmp_path / "cache")
+    files.keep_documents(docs, cache)
+    files.keep_documents(docs.withColumn("nutzdaten", F.lit("<later/>")), cache)
+    assert sorted((r.nor_id, r.nutzdaten) for r in spark.read.parquet(cache).collect()) == [("N1", "<a/>"), ("N2", "<later/>")]
+    (tmp_path / "tree" / "A B").mkdir(parents=True)
+    (tmp_path / "tree" / "A B" / "fassung.json").write_text(json.dumps({"§_1": {"heading": "h", "body": "b"}}))
+    assert [(r.abbrev, r.section_id, r.body) for r in files.read_working_tree(spark, str(tmp_path / "tree")).collect()] == [("A B", "§_1", "b")]
+    versions = spark.createDataFrame([("A", "2017-01-01", "x" * 130), ("A", "1811-06-01", None)], "abbrev string, fassung_vom string, aenderung string")
+    files.write_messages(versions, str(tmp_path / "v"))
+    got = {r.fassung_vom: (r.message, len(r.aenderung), r.author_date) for r in spark.read.parquet(str(tmp_path / "v")).collect()}
+    assert got == {"2017-01-01": (f"A [2017-01-01]: {'x' * 120}", 120, "2017-01-01"), "1811-06-01": ("A [1811-06-01]: ", 0, None)}
+    files.write_artefact(versions, str(tmp_path / "out"))
+    files.write_artefact(versions, str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 2
+    index = spark.createDataFrame([("N1", ""), ("N2", "2020-01-01")], "nor_id string, inkrafttretensdatum string")
+    assert [(r.nor_id, r.fassung_vom) for r in dated(index).collect()] == [("N2", "2020-01-01")]
+
+
+def test_versions_from_documents(spark):
+    """From the index and the documents to versions; what gives no section is an error with its reason."""
+    from datetime import datetime
+
+    from statuta.operators import versions as ver
+    from statuta.operators.xml_sections import sections_of_index
+
+    xml = lambda *texts: "<d><nutzdaten>" + "".join(f'<absatz ct="text">{x}</absatz>' for x in texts) + "</nutzdaten></d>"
+    at = [datetime(2020, 1, k) for k in (1, 2)]
+    records = [(1, "N1", "§ 1", xml("alt"), at[0]), (2, "N1", "§ 1", xml("neuer Text"), at[1]), (3, "N2", "§ 1", xml("kurz"), at[0]), (4, "N3", "§ 2", "<kaputt", at[0]), (5, "N4", "§ 3", xml(), at[0]), (6, "N5", "§ 4", None, at[0]), (7, None, "§ 9", xml("x"), at[0])]
+    docs = spark.createDataFrame(records, "xml_id long, nor_id string, apa string, nutzdaten string, abgerufen_am timestamp_ntz")
+    index = spark.createDataFrame([("A", d, n, k) for d in ("d1", "d2") for k, n in enumerate(["N1", "N2", "N3", "N4", "N5", "N6", None])], "abbrev string, fassung_vom string, nor_id string, arrival long")
+    parsed = sections_of_index(index, docs)
+    assert {(r.nor_id, r.outcome) for r in parsed.collect()} == {("N1", "section"), ("N2", "section"), ("N3", "malformed"), ("N4", "no block"), ("N5", "no data"), ("N6", "not fetched")}
+    snapshot = ver.build_snapshot(parsed.where("outcome = 'section'").drop("body_blocks"))
+    assert sorted((r.fassung_vom, r.section_id, r.body) for r in snapshot.collect()) == [("d1", "§_1", "neuer Text"), ("d2", "§_1", "neuer Text")]
+
+
+def test_place(spark):
+    from statuta.operators.ranking import with_place
+
+    values = [5, 3, 9, 1, 7, 2]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(3)
+    assert {r.v: r.place for r in with_place(df, "place", F.desc("v")).collect()} == {v: k + 1 for k, v in enumerate(sorted(values, reverse=True))}
+    assert with_place(df.limit(0), "place", "v").count() == 0
+
+
+def test_law_issues(spark):
+    from statuta.operators import quality
+
+    rows = [("A", "d1", "§_1", "x", 1), ("A", "d2", "§_1", "", 2), ("B", "d1", "§_1", "x", 3), ("D", "d1", "§_1", "x", 4)]
+    sections = spark.createDataFrame(rows, "abbrev string, fassung_vom string, section_id string, body string, arrival long")
+    commits = spark.createDataFrame([("A", "d1", "A [2020-01-01]: "), ("A", "d2", "ohne Datum"), ("B", "d1", "B [2020-01-01]: "), ("B", "d9", "B [2020-01-02]: "), ("C", "d1", "C [2020-01-01]: ")], "gsn string, fassung_vom string, message string")
+    diffs = spark.createDataFrame([("A", f"Section-{k}", "a", "b", "changed") for k in range(4)] + [("A", "a", None, None, "changed")], "abbrev string, section_id string, old_body string, new_body string, change_kind string")
+    got = {(r.abbrev, r.check, r.n) for r in quality.law_issues(sections, commits, diffs).collect()}
+    assert got == {("A", "empty_fassung", 1), ("A", "commit_messages", 1), ("A", "diff_section_n", 3), ("B", "missing_fassung", 1), ("B", "latest_empty", 1), ("C", "api_error", 1), ("D", "git_error", 1)}
+    assert {(r.abbrev, r.check) for r in quality.law_issues(sections, commits, diffs.limit(0)).collect()} >= {("A", "empty_diff")}
+
+
+def test_intermediates(spark):
+    from statuta.sources.stored import intermediates, stored
+
+    with intermediates():
+        kept = stored(spark.range(5))
+        assert kept.count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(kept._stored_at).count()
+
+
+def test_xml_tables(spark):
+    from statuta.operators.shred import tables_by_path
+
+    xml = '<d><liste><listelem ct="text"><symbol>1.</symbol>eins<liste><listelem ct="text"><symbol>a)</symbol>innen</listelem></liste></listelem></liste></d>'
+    nodes = shred_xml(spark.createDataFrame([(1, xml), (2, "<kaputt")], "id long, x string"), "id", "x")
+    tables = tables_by_path(nodes, ["listelem", "symbol", "fehlt"])
+    assert {r.parent_dewey for r in tables["symbol"].collect()} == {r.dewey for r in tables["listelem"].collect()} == {"1.1.1", "1.1.1.2.1"}
+    assert tables["fehlt"].count() == 0
 
 
 def test_store_and_cli(spark, tmp_path):
@@ -344,6 +454,14 @@ def test_store_and_cli(spark, tmp_path):
     assert "1 changed" not in render(store.diff("A", "2017-01-01", "2018-01-01"), "A") and render(store.diff("A", "2017-01-01", "2018-01-01"), "A").endswith("3 changed, 0 unchanged")
     assert "\033[32m+ § 1. neu." in render(store.diff("A", "2017-01-01", "2018-01-01"), "A", True)
     assert [r.abbrev for r in store.laws("a").collect()] == ["A"] and store.changes("A").count() == 3
+    commits = spark.createDataFrame([("A", "2017-01-01", 1, "alt", "A [2017-01-01]: alt"), ("A", "2017-01-01", 2, "neuer", "A [2017-01-01]: neuer")], "abbrev string, fassung_vom string, version_id long, aenderung string, message string")
+    catalog = spark.createDataFrame([("A", "3. Gebührengesetz", "GebG", "BG", 1)], "gsn string, name string, abbrev string, typ string, cat_id long")
+    full = LawStore(spark.createDataFrame(rows, "abbrev string, fassung_vom string, section_id string, heading string, body string, section_type string, arrival long"), commits, catalog, listed=commits.select("abbrev"))
+    assert [r.name for r in full.laws("gebühren").collect()] == ["Gebührengesetz"] and full.laws("nichts").count() == 0
+    law = full.law("A")
+    assert (law["name"], law["versions_count"], law["sections"], law["synthetic"]) == ("Gebührengesetz", 2, 3, True)
+    assert [(r.fassung_vom, r.aenderung, r.sections, r.changed_count, r.changed_sections) for r in law["versions_list"].collect()] == [("2018-01-01", None, 3, 3, ["§_1", "§_2", "Anlage_1"]), ("2017-01-01", "neuer", None, 0, [])]
+    assert [len(r.short_id or "") for r in law["versions_list"].collect()] == [0, 8]
 
 
 def test_stream(spark, tmp_path):
