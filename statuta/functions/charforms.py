@@ -39,6 +39,8 @@ ODD_CLASS = (
 )
 # the long class is tried only on characters beyond ASCII, which one comparison finds
 ODD_JAVA = f"[^\\x00-\\x9f](?<=[{ODD_CLASS}\\x{{1d400}}-\\x{{1d7ff}}])"
+#: Finds texts with an odd character in one pass: runs of Latin letters, runs of others that are not odd, then any character.
+HAS_ODD_JAVA = f"(?s)^(?:[\\x00-\\x9f\\xa1-\\xac\\xae-\\xff]++|[^\\x00-\\xff{ODD_CLASS}\\x{{1d400}}-\\x{{1d7ff}}]++)*+."
 ODD = re.compile(f"[{ODD_CLASS}\U0001d400-\U0001d7ff]")
 IGNORABLE = re.compile(f"[{IGNORABLE_CLASS}]")
 #: A word with its marks and ignorables; what stands between words is treated character by character.
@@ -89,8 +91,8 @@ def _consistent_udf(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def consistent_form(text: Column) -> Column:
     """``consistent`` as a Column. Python sees only texts with an odd character; the others stay in the JVM."""
-    return F.coalesce(_consistent_udf(F.when(text.rlike(ODD_JAVA), text)), text)
+    return F.coalesce(_consistent_udf(F.when(looks_odd(text), text)), text)
 
 
 def looks_odd(text: Column) -> Column:
-    return F.coalesce(text.rlike(ODD_JAVA), F.lit(False))
+    return F.coalesce(text.rlike(HAS_ODD_JAVA), F.lit(False))

@@ -46,7 +46,6 @@ DAMAGED, INTACT, KNOWN = 0.001, 1.0, 3.0
 ANCHOR = 4
 #: A boilerplate line stands at the edge of texts of so many sections, and in more than this share of its keys alone.
 SECTIONS, SURPLUS = 2, 0.5
-_WHITE = " \t\n\r\f\x0b"
 #: Kinds of departures: another token, a gap, an inserted token (before the column).
 OTHER, GAP, INSERTED = 0, 1, 2
 _DEPARTURES = "array<struct<col:int,kind:int,slot:long>>"
@@ -57,9 +56,16 @@ def keyed(fassung: DataFrame, *more: str | Column) -> DataFrame:
     text = consistent_form(F.col("body"))
     rows = fassung.select("rec_id", "gsn", "fassung_vom", regular_id(F.col("section_id")).alias("section"), text.alias("_text"), *more)
     rows = rows.where(F.col("rec_id").isNotNull() & F.col("gsn").isNotNull() & F.col("fassung_vom").isNotNull() & F.col("section").isNotNull())
-    inner = F.btrim("_text", F.lit(_WHITE))
-    line = lambda at: F.when(inner != "", F.xxhash64(F.btrim(F.substring_index(inner, "\n", at), F.lit(_WHITE))))
-    return rows.withColumns({"text_hash": text_hash(F.col("_text")), "first_line": line(1), "last_line": line(-1)}).drop("_text")
+
+    def line(at: int) -> Column:
+        # a blank line at the edge, as left by a line end, gives way to the one before or after
+        outer = F.trim(F.substring_index("_text", "\n", at))
+        inner = F.trim(F.substring_index(F.substring_index("_text", "\n", 2 * at), "\n", -at))
+        found = F.coalesce(F.nullif(outer, F.lit("")), F.nullif(inner, F.lit("")))
+        return F.when(found.isNotNull(), F.xxhash64(found))
+
+    edges = {"first_line": line(1), "last_line": line(-1)}
+    return rows.withColumns({"text_hash": text_hash(F.col("_text")), **edges}).drop("_text")
 
 
 def text_hash(text: Column) -> Column:

@@ -43,6 +43,15 @@ def test_consistent(spark, odd, plain):
     assert spark.createDataFrame([(odd,)], "s string").select(consistent_form(F.col("s")).alias("x")).first().x == plain
 
 
+def test_odd_characters(spark):
+    """One pass over a text finds just the characters of the table, in very long texts as well."""
+    from statuta.functions.charforms import ODD, looks_odd
+
+    texts = [chr(o) + "x" for r in (range(1, 0x3100), range(0xA720, 0xA740), range(0xFB00, 0x10000), range(0x1D3F0, 0x1D810)) for o in r] + ["a–" * 1_000_000, "a–" * 500_000 + "\u200b", "", "\n\n"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    assert {r.k for r in df.where(looks_odd(F.col("t"))).collect()} == {k for k, t in enumerate(texts) if ODD.search(t)}
+
+
 def test_integrity():
     assert broken_characters("HÃ¶he") and broken_characters("f&uuml;r") and broken_characters("� 3") and not broken_characters("Höhe & Tiefe â la carte")
     assert cut_off("Die Gebühr betr") and not cut_off("a) die Steuer und") and not cut_off("Ende.")
