@@ -24,7 +24,9 @@ def regular_id(section_id: Column) -> Column:
     annex = F.lower(F.regexp_extract(s, f"(?i)(?:^|[^a-z])anlage[._ ]*{digits}", 1))
     hashed = F.regexp_extract(s, "(?i)^section[-_ ]*(\\d+)", 1)
     return (
-        F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
+        # most ids are regular already
+        F.when(section_id.rlike(r"^(?:§|Art|Anlage)_[0-9]+[a-z]?$"), section_id)
+        .when(s.isNull() | (s == ""), F.lit(None).cast("string"))
         .when(hashed != "", F.concat(F.lit("Section-"), hashed))
         .when((article != "") & (paragraph != ""), F.concat(F.lit("Art_"), article, F.lit("_§_"), paragraph))
         .when(article != "", F.concat(F.lit("Art_"), article))
