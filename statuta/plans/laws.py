@@ -186,6 +186,16 @@ NN = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(tri
 LAW = f"{CATALOG}, law as (select gsn, coalesce(name, '') as name, trim(coalesce(abbrev, '')) as abbrev, coalesce(typ, '') as typ from cat), ent as (select entry_id, trim(coalesce(index_name, '')) as index_name, trim(coalesce(index_abbrev, '')) as index_abbrev from final_gsn_list)"
 
 
+FLAG = "flag as (select gsn, bool_or(coalesce(abbrev in (select index_abbrev from final_gsn_list where index_abbrev is not null), false)) as listed from law_versions where gsn is not null group by gsn)"
+
+
+def _named(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with the law's name in the catalog and whether another list has its abbreviation."""
+    names = cat.deduplicated(table(spark, d, "law_catalog_merged")).select(F.col("gsn").alias("abbrev"), t.clean_law_name(F.col("name")).alias("name"))
+    flags = synthetic_flag(spark, d).where("gsn is not null").groupBy(F.col("gsn").alias("abbrev")).agg(F.bool_or("listed").alias("listed"))
+    return rows.join(names, "abbrev", "left").join(flags, "abbrev", "left").fillna("", ["name"]).fillna(False, ["listed"])
+
+
 # --- scans and versions
 
 
@@ -406,8 +416,8 @@ def changed_preview(spark, d):
 
 
 @query(f"""with {ASOF}, {LISTS[LISTS.index("nxt as"):]}, tot as (select * from (select abbrev, fassung_vom, count(*) as sections from recon group by all) qualify fassung_vom = max(fassung_vom) over (partition by abbrev)),
-  first as (select gsn, fassung_vom, aenderung from law_versions qualify row_number() over (partition by gsn, fassung_vom order by version_id) = 1)
-  select l.abbrev, l.fassung_vom, f.aenderung, t.sections, cast(len(changed) as integer) as changed_count, changed[1:30] as changed_sections from lists l left join tot t using (abbrev, fassung_vom) left join first f on f.gsn = l.abbrev and f.fassung_vom = l.fassung_vom""")
+  {FLAG}, {CATALOG}, first as (select gsn, fassung_vom, aenderung from law_versions qualify row_number() over (partition by gsn, fassung_vom order by version_id) = 1)
+  select l.abbrev, coalesce({CLEAN.format("cat.name")}, '') as name, coalesce(flag.listed, false) as listed, l.fassung_vom, f.aenderung, t.sections, cast(len(changed) as integer) as changed_count, changed[1:30] as changed_sections from lists l left join tot t using (abbrev, fassung_vom) left join first f on f.gsn = l.abbrev and f.fassung_vom = l.fassung_vom left join cat on cat.gsn = l.abbrev left join flag on flag.gsn = l.abbrev""")
 def law_detail(spark, d):
     """Each version, newest first, with its amendment, its changes (30 at most are listed) and, for the newest, all sections."""
     s = normalized(spark, d)
@@ -415,7 +425,8 @@ def law_detail(spark, d):
     totals = ver.as_of_all(s, s.groupBy("abbrev").agg(F.max("seq").alias("seq"))).groupBy(*ver.VERSION).agg(F.count("*").alias("sections"))
     first = ver.group_by_date_first(table(spark, d, "law_versions")).select(F.col("gsn").alias("abbrev"), "fassung_vom", "aenderung")
     out = changed.join(totals, ver.VERSION, "left").join(first, ver.VERSION, "left")
-    return out.select(*ver.VERSION, "aenderung", "sections", F.size("changed").alias("changed_count"), F.slice("changed", 1, 30).alias("changed_sections")).orderBy("abbrev", F.desc("fassung_vom"))
+    out = _named(spark, d, out)
+    return out.select("abbrev", "name", "listed", "fassung_vom", "aenderung", "sections", F.size("changed").alias("changed_count"), F.slice("changed", 1, 30).alias("changed_sections")).orderBy("abbrev", F.desc("fassung_vom"))
 
 
 # --- summaries
@@ -426,11 +437,11 @@ def _index(spark, d, sections):
     return per.groupBy("abbrev").agg(F.count("*").alias("versions"), F.max_by("n", "fassung_vom").alias("sections"), F.max("fassung_vom").alias("newest_fassung_vom"))
 
 
-@query(f"""with {VERS}, {CATALOG}, per as (select abbrev, fassung_vom, count(*) as n from snap group by all)
-  select p.abbrev, coalesce({CLEAN.format("max(cat.name)")}, '') as name, count(*) as versions, arg_max(n, fassung_vom) as sections, max(fassung_vom) as newest_fassung_vom from per p left join cat on cat.gsn = p.abbrev group by p.abbrev""")
+@query(f"""with {VERS}, {CATALOG}, {FLAG}, per as (select abbrev, fassung_vom, count(*) as n from snap group by all)
+  select p.abbrev, coalesce({CLEAN.format("max(cat.name)")}, '') as name, count(*) as versions, arg_max(n, fassung_vom) as sections, max(fassung_vom) as newest_fassung_vom, coalesce(bool_or(listed), false) as listed
+  from per p left join cat on cat.gsn = p.abbrev left join flag on flag.gsn = p.abbrev group by p.abbrev""")
 def law_index(spark, d):
-    names = cat.law_names(table(spark, d, "fassung").where("gsn is not null").select("gsn").distinct(), table(spark, d, "law_catalog_merged")).withColumnRenamed("gsn", "abbrev")
-    return _index(spark, d, snapshot(spark, d)).join(names, "abbrev", "left").fillna("", ["name"]).select("abbrev", "name", "versions", "sections", "newest_fassung_vom")
+    return _named(spark, d, _index(spark, d, snapshot(spark, d))).select("abbrev", "name", "versions", "sections", "newest_fassung_vom", "listed")
 
 
 @query(f"with {ASOF}, per as (select abbrev, fassung_vom, count(*) as n from recon group by all) select abbrev, count(*) as versions, arg_max(n, fassung_vom) as sections, max(fassung_vom) as newest_fassung_vom from per group by abbrev")
@@ -782,6 +793,20 @@ def build_fassung_totals(spark, d):
     return rows.groupBy("abbrev", "fassung_vom").agg(F.count("*").alias("documents"), F.count_if(F.col("outcome") == "not fetched").alias("not_fetched"), F.count_if("blank").alias("without_text"))
 
 
+@query(f"with {INDEX} select count(distinct abbrev) as laws, count(distinct (abbrev, fassung_vom)) as versions, count(*) as documents, count(*) filter (doc.nor_id is null) as not_fetched from idx left join doc using (nor_id)")
+def run_summary(spark, d):
+    """The totals of a run over all laws: laws, versions, documents named, documents never fetched."""
+    parsed = sections_of_index(_index_rows(spark, d), table(spark, d, "nor_xml"))
+    per = parsed.groupBy("abbrev", "fassung_vom").agg(F.count("*").alias("documents"), F.count_if(F.col("outcome") == "not fetched").alias("not_fetched"))
+    return per.agg(F.countDistinct("abbrev").alias("laws"), F.count("*").alias("versions"), F.sum("documents").alias("documents"), F.sum("not_fetched").alias("not_fetched"))
+
+
+@query("select gsn, count(*) as commits, count(distinct fassung_vom) as dates from law_versions group by gsn")
+def version_counts(spark, d):
+    """How many versions of each law were committed, and of how many dates."""
+    return table(spark, d, "law_versions").groupBy("gsn").agg(F.count("*").alias("commits"), F.countDistinct("fassung_vom").alias("dates"))
+
+
 @query()
 def build_fassung_errors(spark, d):
     """The documents of each version that gave no section, with the reason."""
