@@ -122,23 +122,19 @@ def mix(sized: DataFrame, weights: DataFrame, total: int | None = None, seed: in
     docs = sized.select("doc_id", F.array_sort(F.array_intersect(F.coalesce("sources", known), known)).alias("pattern"), F.when(F.col("sources").isNull(), 0).otherwise(F.col("n_tokens")).cast("long").alias("n_tokens"))
     docs = docs.where((F.col("n_tokens") > 0) & (F.size("pattern") > 0)).withColumn("at", F.xxhash64("doc_id", F.lit(seed)))
     docs = stored(docs.withColumn("bucket", F.pmod("at", F.lit(BUCKETS)).cast("int")))
-    # bounded: patterns times buckets
-    totals = docs.groupBy("pattern", "bucket").agg(F.sum("n_tokens").alias("n")).collect()
-    patterns: dict[tuple[str, ...], int] = defaultdict(int)
-    for r in totals:
-        patterns[tuple(r.pattern)] += r.n
+    totals = stored(docs.groupBy("pattern", "bucket").agg(F.sum("n_tokens").alias("n")))
+    # one row a set of sources: the nodes of the flow
+    patterns = {tuple(r.pattern): r.n for r in sorted(totals.groupBy("pattern").agg(F.sum("n").alias("n")).collect())}
     _, flows = route(patterns, {s: w for s, (w, _) in rows.items()}, {s: c for s, (_, c) in rows.items()}, total)
-    spark = sized.sparkSession
-    offsets, begun = [], defaultdict(int)
-    for r in sorted(totals, key=lambda r: (r.pattern, r.bucket)):
-        offsets.append((r.pattern, r.bucket, begun[tuple(r.pattern)], patterns[tuple(r.pattern)]))
-        begun[tuple(r.pattern)] += r.n
+    # one row a pattern and bucket: where each bucket begins on its pattern's line
+    line = Window.partitionBy("pattern")
+    before = line.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("pattern", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("n").over(line).alias("around"))
     stretches, begun = [], defaultdict(int)
     for (p, s), f in sorted(flows.items()):
         stretches.append((list(p), s, begun[p], begun[p] + f))
         begun[p] += f
-    starts = spark.createDataFrame(offsets, "pattern array<string>, bucket int, offset long, around long")
-    parts = spark.createDataFrame(stretches, "pattern array<string>, source string, first long, last long")
+    parts = sized.sparkSession.createDataFrame(stretches, "pattern array<string>, source string, first long, last long")
     w = Window.partitionBy("pattern", "bucket").orderBy("at", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = docs.join(starts, ["pattern", "bucket"]).withColumn("middle", F.col("offset") + F.coalesce(F.sum("n_tokens").over(w), F.lit(0)) + F.col("n_tokens") / 2)
     # round k of the line has the record's middle at middle + k * around: count the rounds that fall into the stretch
