@@ -43,6 +43,7 @@ def out_of_order(sections: DataFrame) -> DataFrame:
 
 def malformed(sid: Column) -> Column:
     """What is wrong with the form of an id; null if nothing is."""
+    # fixed values: the patterns and the words for them
     hidden = sid.startswith("Section-") | (sid == "Text")
     return F.when(~hidden, F.when(sid.rlike("[,;]$"), "trailing punctuation").when(sid.rlike("[._]Paragraph"), "contains Paragraph text").when(sid.rlike(r"\.\s"), "contains spaces/dots"))
 
