@@ -70,6 +70,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def changes(rows: DataFrame, owner: str, date: str, entity: str, value: str) -> DataFrame:
     """owner, date, entity, change_kind (added, removed, changed) for each difference from the owner's snapshot before."""
+    owner_type = rows.schema[owner].dataType
     rows = rows.where(F.col(owner).isNotNull() & F.col(date).isNotNull() & F.col(entity).isNotNull())
     rows = stored(rows.groupBy(F.col(owner).cast("string").alias("owner"), F.col(date).alias("date"), F.col(entity).alias("entity")).agg(F.max(value).alias("v")))
     # one row a snapshot in these windows
@@ -79,7 +80,8 @@ def changes(rows: DataFrame, owner: str, date: str, entity: str, value: str) ->
     dates = stored(dates.select("owner", "date", "seq", "last", depth.alias("depth")))
     by_hash = F.xxhash64("entity")
     leaf = F.shiftrightunsigned(by_hash, 1) % F.pow(F.lit(FAN), F.col("depth")).cast("long")
-    placed = rows.join(dates.where("last > 1"), ["owner", "date"]).select("owner", "seq", "last", "depth", "entity", "v", leaf.alias("leaf"))
+    # these tables grow with the data and shrink in files, so their size there says little: no broadcasts
+    placed = rows.join(dates.where("last > 1").hint("merge"), ["owner", "date"]).select("owner", "seq", "last", "depth", "entity", "v", leaf.alias("leaf"))
     digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "entity", F.col("v").isNull(), "v"))
     leaves = placed.groupBy("owner", "seq", "last", "depth", "leaf").agg(digest(1).alias("d1"), digest(2).alias("d2"))
     # each snapshot is the later side of one comparison and the earlier side of the next one
@@ -94,8 +96,8 @@ def changes(rows: DataFrame, owner: str, date: str, entity: str, value: str) ->
     trees = sided.groupBy("owner", "at", "branch", "depth").agg(one_side(F.col("now")).alias("now"), one_side(~F.col("now")).alias("before"))
     differ = stored(trees.mapInArrow(_compare, "owner string, at int, leaf long"))
     asked = differ.select("owner", "at", "leaf", F.explode(F.array(F.struct(F.col("at").alias("seq"), F.lit(True).alias("now")), F.struct((F.col("at") - 1).alias("seq"), F.lit(False).alias("now")))).alias("s")).select("owner", "at", "leaf", "s.*")
-    met = placed.select("owner", "seq", "leaf", "entity", F.struct("v").alias("v")).join(asked, ["owner", "seq", "leaf"])
+    met = placed.select("owner", "seq", "leaf", "entity", F.struct("v").alias("v")).join(asked.hint("merge"), ["owner", "seq", "leaf"])
     pairs = met.groupBy("owner", "at", "entity").agg(F.max(F.when(F.col("now"), F.col("v"))).alias("new"), F.max(F.when(~F.col("now"), F.col("v"))).alias("old"))
     kind = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(~F.col("new").eqNullSafe(F.col("old")), "changed")
     out = pairs.select("owner", F.col("at").alias("seq"), "entity", kind.alias("change_kind")).where("change_kind is not null")
-    return out.join(dates.select("owner", "seq", "date"), ["owner", "seq"]).select(F.col("owner").alias(owner), F.col("date").alias(date), F.col("entity").alias(entity), "change_kind")
+    return out.join(dates.select("owner", "seq", "date"), ["owner", "seq"]).select(F.col("owner").cast(owner_type).alias(owner), F.col("date").alias(date), F.col("entity").alias(entity), "change_kind")
