@@ -49,7 +49,7 @@ def differing_leaves(depth: int, now: tuple[np.ndarray, np.ndarray, np.ndarray],
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """owner, at, branch, depth and two packed rows each to owner, at, leaf."""
+    """owner, at, branch, depth (of the tree above the packed row) and the two packed rows to owner, at, leaf."""
     for batch in batches:
         depth, branch = batch.column("depth").to_pylist(), batch.column("branch").to_pylist()
         sides = []
@@ -61,8 +61,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, at = [], []
         for k in range(batch.num_rows):
             trees = [tuple(x[ends[k] : ends[k + 1]] for x in cols) for ends, *cols in sides]
-            leaves = differing_leaves(min(depth[k], PACKED), *trees)
-            found.append(leaves + branch[k] * FAN ** min(depth[k], PACKED))
+            leaves = differing_leaves(depth[k], *trees)
+            found.append(leaves + branch[k] * FAN ** depth[k])
             at.append(np.full(len(leaves), k))
         index = pa.array(np.concatenate(at) if at else np.zeros(0, np.int64))
         yield pa.RecordBatch.from_arrays([batch.column("owner").take(index), batch.column("at").take(index), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], names=["owner", "at", "leaf"])
@@ -88,7 +88,7 @@ def changes(rows: DataFrame, owner: str, date: str, entity: str, value: str) ->
     packed = F.pow(F.lit(FAN), F.least("depth", F.lit(PACKED))).cast("long")
     node = F.struct((F.col("leaf") % packed).cast("int").alias("leaf"), "d1", "d2")
     sides = F.array_compact(F.array(F.when(F.col("seq") > 1, F.struct(F.col("seq").alias("at"), F.lit(True).alias("now"))), F.when(F.col("seq") < F.col("last"), F.struct((F.col("seq") + 1).alias("at"), F.lit(False).alias("now")))))
-    sided = leaves.select("owner", "depth", F.floor(F.col("leaf") / packed).alias("branch"), node.alias("node"), F.explode(sides).alias("s")).select("owner", "depth", "branch", "node", "s.*")
+    sided = leaves.select("owner", F.least("depth", F.lit(PACKED)).alias("depth"), F.floor(F.col("leaf") / packed).alias("branch"), node.alias("node"), F.explode(sides).alias("s")).select("owner", "depth", "branch", "node", "s.*")
 
     def one_side(which: Column) -> Column:
         return F.collect_list(F.when(which, F.col("node")))
