@@ -19,6 +19,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -163,7 +164,11 @@ def spellings(texts: DataFrame, occurrences: DataFrame, budget: int = 0) -> Data
     buckets = max(BUCKETS, vocabulary.count() // WORDS_A_BUCKET)
     bucket = F.pmod(F.xxhash64("looks"), F.lit(buckets)).cast("int").alias("bucket")
     if budget:
-        around = F.pandas_udf(lambda s: s.map(lambda w: near_looks(w, budget)), ArrayType(StringType()), F.PandasUDFType.SCALAR)
+
+        @F.pandas_udf(ArrayType(StringType()))
+        def around(looks_: pd.Series) -> pd.Series:
+            return looks_.map(lambda w: near_looks(w, budget))
+
         bucket = F.explode(F.array_distinct(F.transform(around("looks"), lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int")))).alias("bucket")
     entries = vocabulary.select(F.lit(0).alias("odd"), "word", F.col("word").alias("looks"), "n").select("odd", "word", "n", bucket)
     asked = occurrences.where("word is not null").select("word", "looks").distinct().select(F.lit(1).alias("odd"), "word", F.lit(0).cast("long").alias("n"), bucket)
